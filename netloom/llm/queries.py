@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from netloom.llm import exact_dedup, resharding
+from netloom.llm import exact_dedup, resharding, sentencepiece_codec, token_store
 
 QUERIES = {
     "op1_reshard": resharding.op1_reshard,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_token_store": token_store.op5_token_store,
+    "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
 }
 
 ORACLE_SQL = {"op4_exact_dedup": exact_dedup.OP4_SQL}

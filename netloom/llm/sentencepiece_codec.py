@@ -63,6 +63,9 @@ class Pieces:
         self.longest = int(self.size.max(initial=1))
         self.length = np.ones(len(pieces), np.int64)
         self.length[self.ids] = self.size
+        self.low = np.array([int.from_bytes(c[:8].ljust(8, b"\0"), "big") for c in self.coded], np.uint64)
+        self.high = np.array([int.from_bytes(c[:8].ljust(8, b"\xff"), "big") for c in self.coded], np.uint64)
+        self.key = sha256(repr((pieces, scores, kinds, bpe)).encode()).hexdigest()
 
     def _ranks(self, used: list[int]) -> None:
         """Merge ranks, the pairs that merge, and the last merge of each piece that merging can reach."""
@@ -159,9 +162,8 @@ def suffix_array(data: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
 def occurrences(data: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """All (piece, start) pairs where a piece stands in ``data``, by binary search of each piece."""
     order, first = suffix_array(data, pieces.longest)
-    head = [c[:8] for c in pieces.coded]
-    low = np.searchsorted(first, np.array([int.from_bytes(h.ljust(8, b"\0"), "big") for h in head], np.uint64), "left")
-    high = np.searchsorted(first, np.array([int.from_bytes(h.ljust(8, b"\xff"), "big") for h in head], np.uint64), "right")
+    low = np.searchsorted(first, pieces.low, "left")
+    high = np.searchsorted(first, pieces.high, "right")
     long = np.flatnonzero((pieces.size > 8) & (high > low))
     if len(long):  # the rest of a long piece is searched inside the range of its first eight bytes
         width = pieces.longest
@@ -299,8 +301,15 @@ def decode(ids, pieces: Pieces) -> str:
     return raw[1:] if raw.startswith(" ") else raw
 
 
+_TABLES: dict[str, SegmentTable] = {}
+
+
 def encoder(pieces: Pieces) -> SegmentTable:
-    return SegmentTable(split_segments, lambda s: encode_segments(s, pieces))
+    """The segment table of a vocabulary; a worker keeps it from task to task."""
+    if pieces.key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[pieces.key] = SegmentTable(split_segments, lambda s: encode_segments(s, pieces))
+    return _TABLES[pieces.key]
 
 
 def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 
 #: Segments held before the table starts anew; this bounds a worker's memory.
-TABLE_SEGMENTS = 400_000
+TABLE_SEGMENTS = 600_000
 #: Characters of text put together at a time.
 BLOCK_CHARS = 2_000_000
 

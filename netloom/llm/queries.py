@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from netloom.llm import exact_dedup, ngram_join, resharding, sentencepiece_codec, token_store
+from netloom.llm import decontamination, exact_dedup, ngram_join, resharding, sentencepiece_codec, token_store
 
 QUERIES = {
     "op1_reshard": resharding.op1_reshard,
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_store": token_store.op5_token_store,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
 }
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from netloom.llm import decontamination, exact_dedup, ngram_join, resharding, sentencepiece_codec, token_store
+from netloom.llm import decontamination, exact_dedup, importance, ngram_join, resharding, sentencepiece_codec, token_store, toxicity
 
 QUERIES = {
     "op1_reshard": resharding.op1_reshard,
     "op2_ngram_join": ngram_join.op2_ngram_join,
+    "op3_importance": importance.op3_importance,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_store": token_store.op5_token_store,
     "op6_decontamination": decontamination.op6_decontamination,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from netloom.llm import decontamination, exact_dedup, importance, ngram_join, resharding, sentencepiece_codec, token_store, toxicity
+from netloom.llm import chat_format, decontamination, exact_dedup, importance, ngram_join, resharding, sentencepiece_codec, token_store, toxicity, url_filter
 
 QUERIES = {
     "op1_reshard": resharding.op1_reshard,
@@ -12,7 +12,13 @@ QUERIES = {
     "op5_token_store": token_store.op5_token_store,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_url_filter": url_filter.op8_url_filter,
+    "op9_chat_format": chat_format.op9_chat_format,
     "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
 }
 
-ORACLE_SQL = {"op4_exact_dedup": exact_dedup.OP4_SQL}
+ORACLE_SQL = {
+    "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op8_url_filter": url_filter.OP8_SQL,
+    "op9_chat_format": chat_format.OP9_SQL,
+}

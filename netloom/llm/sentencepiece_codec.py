@@ -343,6 +343,23 @@ def decode_documents(coded: DataFrame, model: str | None = None) -> DataFrame:
     return coded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")
 
 
+def encode_with_check(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, n_pieces, round_trip) of each row: the ids, and whether decoding them gives the text back."""
+    pieces = read_model(model or f"{local_files()}/piece_bpe_32k.model")
+
+    def run(batches):
+        table = encoder(pieces)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for first, ids, bounds in table.blocks(texts):
+                flat, n = ids.tolist(), len(bounds) - 1
+                same = [decode(flat[a:b], pieces) == (t or "").replace(SPACE, " ") for a, b, t in zip(bounds[:-1].tolist(), bounds[1:].tolist(), texts[first : first + n])]
+                rows = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), rows, pa.array(np.diff(bounds), pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "ids", "n_pieces", "round_trip"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>, n_pieces long, round_trip boolean")
+
+
 def encode_check(docs: DataFrame, model: str | None = None) -> DataFrame:
     """Per document: doc_id, n_pieces, ids_crc32 (little-endian unsigned 32-bit ids), decoded_sha256, round_trip.
 

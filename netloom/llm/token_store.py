@@ -17,12 +17,13 @@ root, and every part against the manifest.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import accumulate
+from itertools import accumulate, chain
 from pathlib import Path
 
 import numpy as np
@@ -32,27 +33,77 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netloom.llm.common import drop_scratch, local_files, scratch
-from netloom.llm.words import SegmentTable
+from netloom.llm.words import IdLists, SegmentTable
 
 WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 16, 64, 9, 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
-#: White space of the tokenizer's own pattern; its tokens never hold or cross it.
-WORD = re.compile(r"[^ \t\n\r\f\v]+")
+#: Tokens never hold or cross white space.  The other signs at which str.split would cut are left to the tokenizer.
+WORD = re.compile("[^\t-\r ]+")
+ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Lower-case letters whose lower case and composed form are themselves; the tokenizer's pattern takes a run of them whole.
+PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+LATIN = re.compile("[\x00-\xff]*").fullmatch
+CORES = 500_000
 
 
-@lru_cache(maxsize=2)
-def _tokenizer_table(spec: str) -> SegmentTable:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(spec)
+class _Tokenizer:
+    """Encodes distinct words with the tokenizers library.
 
-    def encode(words: list[str]):
-        found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        length = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), np.int64, int(length.sum())), length
+    Words that differ in case or in a closing point or comma share a core,
+    which is encoded once.  A core of plain letters passes the tokenizer's
+    normaliser and pattern unchanged and whole, so those steps are left out
+    for it; all other words go through the tokenizer as it is.
+    """
 
-    return SegmentTable(WORD.findall, encode)
+    def __init__(self, spec: str):
+        from tokenizers import Tokenizer
+
+        plain = json.loads(spec)
+        split = next(p for p in plain["pre_tokenizer"]["pretokenizers"] if p["type"] == "ByteLevel")
+        self.whole, self.plain = Tokenizer.from_str(spec), Tokenizer.from_str(json.dumps({**plain, "normalizer": None, "pre_tokenizer": split, "added_tokens": []}))
+        self.cores = IdLists()
+        vocabulary = plain["model"]["vocab"]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.cores.at) > CORES:
+            self.cores = IdLists()
+        parts = []
+        for w in words:
+            low = w.lower() if LATIN(w) else w
+            if PLAIN(low):
+                parts += (low, "")
+            elif low[-1] in ".," and PLAIN(low[:-1]):
+                parts += (low[:-1], low[-1])
+            else:
+                parts += (w, "")
+        which = self.cores.numbers(parts)
+        if self.cores.new:
+            self.cores.learn(*self._encode(self.cores.new))
+        ids, length = self.cores.gather(which)
+        return ids, length[::2] + length[1::2]
+
+    def _encode(self, cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = [c for c in cores if PLAIN(c)]
+        found: dict[str, list[int]] = {}
+        for k in range(0, len(plain), 500):
+            part = plain[k : k + 500]
+            ids = self.plain.encode_batch_fast([part], add_special_tokens=False, is_pretokenized=True)[0].ids
+            ends = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]  # one end a word
+            found.update((w, ids[a:b]) for w, a, b in zip(part, ends, ends[1:]))
+        rest = [c for c in cores if c not in found]
+        found.update(zip(rest, (e.ids for e in self.whole.encode_batch_fast(rest, add_special_tokens=False))))
+        lists = [found[c] for c in cores]
+        length = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int64, int(length.sum())), length
+
+
+@lru_cache(maxsize=1)
+def _tokenizer_table(spec: str) -> SegmentTable:
+    """A worker keeps its table from task to task."""
+    return SegmentTable(lambda text: WORD.findall(text) if ODD.search(text) else text.split(), _Tokenizer(spec).words)
 
 
 def rolling_hash(ids: np.ndarray) -> np.ndarray:
@@ -249,15 +300,20 @@ def _chunk_facts(batches):
 
 def _document_facts(batches):
     for batch in batches:
+        parts = batch.column("parts")
+        bounds = np.asarray(parts.offsets) - parts.offsets[0].as_py()
+        pos, digest, n, crc = parts.flatten().flatten()
+        owner = np.repeat(np.arange(len(parts)), np.diff(bounds))
+        order = np.lexsort((np.asarray(pos), owner))
+        digest, n, crc = digest.take(pa.array(order)).to_pylist(), np.asarray(n)[order].tolist(), np.asarray(crc)[order].tolist()
         crcs = []
-        for parts, root, n_tokens in zip(batch.column("parts").to_pylist(), batch.column("root").to_pylist(), batch.column("n_tokens").to_pylist()):
-            parts.sort(key=lambda p: p["pos"])
-            if merkle_root([p["digest"] for p in parts]) != root or sum(p["n"] for p in parts) != n_tokens:
+        for a, b, root, n_tokens in zip(bounds[:-1].tolist(), bounds[1:].tolist(), batch.column("root").to_pylist(), batch.column("n_tokens").to_pylist()):
+            if merkle_root(digest[a:b]) != root or sum(n[a:b]) != n_tokens:
                 raise ValueError("a recipe does not fit its Merkle root")
-            crc = 0
-            for p in parts:
-                crc = crc32_join(crc, p["crc"], 4 * p["n"])
-            crcs.append(crc)
+            whole = crc[a]
+            for k in range(a + 1, b):
+                whole = crc32_join(whole, crc[k], 4 * n[k])
+            crcs.append(whole)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 

@@ -8,52 +8,72 @@ look-ups.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
-#: Segments held before the table starts anew; this bounds a worker's memory.
-TABLE_SEGMENTS = 600_000
+#: Segments held before a table starts anew; this bounds a worker's memory.
+TABLE_SEGMENTS = 500_000
 #: Characters of text put together at a time.
 BLOCK_CHARS = 2_000_000
 
 
-class SegmentTable:
-    """ids of texts from ``split`` (text to segments) and ``encode`` (segments to flat ids and lengths)."""
+class IdLists:
+    """Numbered strings, each with a list of ids, in flat arrays."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = TABLE_SEGMENTS):
-        self.split, self.encode, self.limit = split, encode, limit
-        self._clear()
-
-    def _clear(self) -> None:
-        self.at: dict[str, int] = {}
+    def __init__(self) -> None:
+        self.new: list[str] = []
+        self.at = _Numbers(self.new)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
-    def _learn(self, segments: Iterable[str]) -> None:
-        new = [s for s in dict.fromkeys(segments) if s not in self.at]
-        if not new:
-            return
-        flat, length = self.encode(new)
+    def numbers(self, strings: list[str]) -> np.ndarray:
+        """The number of each string; unknown ones get the next numbers and are noted in ``new``."""
+        return np.fromiter(map(self.at.__getitem__, strings), np.int64, len(strings))
+
+    def learn(self, flat: np.ndarray, length: np.ndarray) -> None:
+        """The ids of all strings in ``new``, in their order."""
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(length) - length])
         self.length = np.concatenate([self.length, length])
         self.ids = np.concatenate([self.ids, flat.astype(np.int32)])
-        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+        self.new.clear()
 
-    def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        split = [self.split(t) for t in texts]
-        flat = [s for x in split for s in x]
-        if len(self.at) > self.limit:
-            self._clear()
-        self._learn(flat)
-        which = np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))
+    def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the strings numbered ``which`` one after the other, and the number of ids of each."""
         length = self.length[which]
         end = np.cumsum(length)
         take = np.arange(end[-1] if len(end) else 0) + np.repeat(self.start[which] - (end - length), length)
-        of_text = np.cumsum([0, *map(len, split)])
-        bounds = np.concatenate([[0], end])[of_text]
-        return self.ids[take], bounds
+        return self.ids[take], length
+
+
+class _Numbers(dict):
+    def __init__(self, new: list[str]):
+        super().__init__()
+        self.new = new
+
+    def __missing__(self, string: str) -> int:
+        number = self[string] = len(self)
+        self.new.append(string)
+        return number
+
+
+class SegmentTable:
+    """ids of texts from ``split`` (text to segments) and ``encode`` (segments to flat ids and lengths)."""
+
+    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = TABLE_SEGMENTS):
+        self.split, self.encode, self.limit, self.lists = split, encode, limit, IdLists()
+
+    def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        split = [self.split(t) for t in texts]
+        if len(self.lists.at) > self.limit:
+            self.lists = IdLists()
+        which = self.lists.numbers([s for x in split for s in x])
+        if self.lists.new:
+            self.lists.learn(*self.encode(self.lists.new))
+        ids, length = self.lists.gather(which)
+        bounds = np.concatenate([[0], np.cumsum(length)])[np.cumsum([0, *map(len, split)])]
+        return ids, bounds
 
     def blocks(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(index of the first text, ids of a block of texts, bounds of each text in them); null is empty."""

@@ -76,8 +76,8 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_linear(rows, columns, width, extra, label, steps: int = 120, ridge: float = 2e-4) -> Linear:
-    """Logistic regression on binary features (row, column pairs) and dense ``extra`` columns, classes weighted alike."""
+def fit_linear(rows, columns, width, extra, label, steps: int = 120, ridge: float = 2.0) -> Linear:
+    """Logistic regression on binary features (row, column pairs) and dense ``extra`` columns, classes weighted alike; the ridge is shared by the rows."""
     n, k = len(label), width + extra.shape[1]
     weight, bias = np.zeros(k), 0.0
     m, v = np.zeros(k + 1), np.zeros(k + 1)
@@ -89,7 +89,7 @@ def fit_linear(rows, columns, width, extra, label, steps: int = 120, ridge: floa
         p = Linear(weight, bias).predict(rows, columns, n, extra)
         d = share * (p - label)
         g = np.concatenate([np.bincount(columns, d[rows], width), d @ extra, [d.sum()]])
-        g[:-1] += ridge * weight
+        g[:-1] += ridge / n * weight
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         step = 0.25 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
@@ -155,13 +155,13 @@ def fit_chain(found: list[list[int]], labels: dict[str, np.ndarray], sample: Sam
 
 
 def _best_limit(p: np.ndarray, y: np.ndarray) -> float:
-    """The probability at which out-of-fold precision and recall have the best harmonic mean."""
+    """The probability of the best out-of-fold F-measure that counts precision twice as much as recall."""
     if not 0 < y.sum() < len(y):
         return 0.5
     order = np.argsort(-p, kind="stable")
     true = np.cumsum(y[order])
-    f1 = 2 * true / (np.arange(1, len(y) + 1) + y.sum())
-    k = int(np.argmax(f1))
+    f_half = true / (np.arange(1, len(y) + 1) + 0.25 * y.sum())
+    k = int(np.argmax(f_half))
     below = p[order[k + 1]] if k + 1 < len(y) else 0.0
     return float((p[order[k]] + below) / 2)
 

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from netloom.llm.common import BROADCAST_BYTES, bounded_broadcast, materialize, scratch
 
@@ -143,6 +142,3 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, text_sha256
 FROM h WINDOW w AS (PARTITION BY text_sha256)
 """
-
-#: Schema of :func:`exact_duplicates`.
-SCHEMA = T.StructType.fromDDL("doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string")

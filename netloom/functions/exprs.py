@@ -85,30 +85,40 @@ def proto_class(name: Column) -> Column:
     return F.when(up.isin("TCP", "UDP"), up).when(up.isin("ICMP", "ICMPV6"), "ICMP").otherwise("OTHER")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ipv4_number(ip: Column) -> Column:
     """A dotted address as a long; null if it isn't one."""
     octet = r"(0|[1-9]\d?|1\d\d|2[0-4]\d|25[0-5])"
-    part = F.split(ip, r"\.")
-    value = sum((part[k].try_cast("long") * F.lit(256 ** (3 - k)) for k in range(1, 4)), part[0].try_cast("long") * F.lit(256**3))
-    return F.when(ip.rlike(rf"^{octet}(\.{octet}){{3}}$"), value)
+    value = lambda p: F.aggregate(p, F.lit(0).cast("long"), lambda n, x: n * 256 + x.cast("long"))
+    return F.when(ip.rlike(rf"^{octet}(\.{octet}){{3}}$"), value(F.split(ip, r"\.")))
 
 
 def ipv6_hex(ip: Column) -> Column:
     """32 hex digits of an IPv6 text (embedded IPv4 and a zone too); null if it isn't one."""
-    low = F.lower(F.split(ip, "%")[0])
-    tail = F.regexp_extract(low, r"(\d+\.\d+\.\d+\.\d+)$", 1)
-    v4 = ipv4_number(tail)
-    as_hex = F.lower(F.lpad(F.hex(v4), 8, "0"))
-    flat = F.when(tail == "", low).otherwise(F.concat(F.substring(low, F.lit(1), F.length(low) - F.length(tail)), F.substring(as_hex, 1, 4), F.lit(":"), F.substring(as_hex, 5, 4)))
-    halves = F.split(flat, "::")
+
+    def flat(low: Column) -> Column:
+        """Without the embedded IPv4; null if that is no address."""
+        tail = F.regexp_extract(low, r"(\d+\.\d+\.\d+\.\d+)$", 1)
+        digits = let(F.lpad(F.hex(ipv4_number(tail)), 8, "0"), lambda h: F.concat(F.substring(h, 1, 4), F.lit(":"), F.substring(h, 5, 4)))
+        return F.when(~low.contains("."), low).otherwise(F.concat(F.substring(low, F.lit(1), F.length(low) - F.length(tail)), digits))
+
     groups = lambda half: F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":"))
-    left, right = groups(halves[0]), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
-    missing = F.lit(8) - F.size(left) - F.size(right)
-    filled = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right)
-    digits = F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), "")
-    good = F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    shape = F.when(F.size(halves) == 1, missing == 0).otherwise((F.size(halves) == 2) & (missing >= 1))
-    return F.when(ip.contains(":") & shape & good & ((tail == "") | v4.isNotNull()), digits)
+
+    def digits(s: Column) -> Column:
+        left, right, halves = s["left"], s["right"], s["halves"]
+        missing = F.lit(8) - F.size(left) - F.size(right)
+        filled = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right)
+        good = F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9a-fA-F]{1,4}$"))
+        shape = F.when(halves == 1, missing == 0).otherwise((halves == 2) & (missing >= 1))
+        return F.when(shape & good, F.lower(F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), "")))
+
+    parts = lambda h: F.struct(groups(h[0]).alias("left"), groups(F.coalesce(F.get(h, F.lit(1)), F.lit(""))).alias("right"), F.size(h).alias("halves"))
+    whole = let(F.split(flat(F.split(ip, "%")[0]), "::"), lambda h: let(parts(h), digits))
+    return F.when(ip.contains(":"), whole)
 
 
 def _cidr_v4(cidr: str) -> tuple[int, int]:
@@ -127,17 +137,18 @@ def _cidr_v6(cidr: str) -> tuple[str, str]:
 
 def address_scope(ip: Column) -> Column:
     """Scope of an address text; ``public`` if no range holds it, ``invalid`` if it is no address, null for null."""
-    v4, v6 = ipv4_number(ip), ipv6_hex(ip)
-    out = F.when(ip.isNull(), F.lit(None).cast("string"))
-    four = None
-    for cidr, scope in SCOPES_V4:
-        low, high = _cidr_v4(cidr)
-        four = (four or F).when(v4.between(low, high), scope)
-    six = None
-    for cidr, scope in SCOPES_V6:
-        low, high = _cidr_v6(cidr)
-        six = (six or F).when(v6.between(low, high), scope)
-    return out.when(v4.isNotNull(), four.otherwise("public")).when(v6.isNotNull(), six.otherwise("public")).otherwise("invalid")
+    four = lambda n: _cases([(n.between(*_cidr_v4(c)), s) for c, s in SCOPES_V4])
+    six = lambda h: _cases([(h.between(*_cidr_v6(c)), s) for c, s in SCOPES_V6])
+    v4 = let(ipv4_number(ip), lambda n: F.when(n.isNotNull(), four(n)))
+    v6 = let(ipv6_hex(ip), lambda h: F.when(h.isNotNull(), six(h)))
+    return F.when(ip.isNotNull(), F.coalesce(v4, v6, F.lit("invalid")))
+
+
+def _cases(pairs: list[tuple[Column, str]]) -> Column:
+    out = F.when(*pairs[0])
+    for condition, value in pairs[1:]:
+        out = out.when(condition, value)
+    return out.otherwise("public")
 
 
 def is_private(scope: Column) -> Column:

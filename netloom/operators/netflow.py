@@ -8,6 +8,8 @@ within its time to live), and a second function cuts the records.
 
 from __future__ import annotations
 
+import socket
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,19 +173,22 @@ def _records(body: bytes, fields: list[dict]):
 
 
 def data_records(matched: DataFrame) -> DataFrame:
-    """One row per record: the header's facts and ``values``, a map from element to bytes."""
+    """One row per record: the header's facts, ``values`` (a map from element to bytes) and the texts of IPv6 addresses."""
+
+    def text(raw: bytes | None) -> str:
+        return socket.inet_ntop(socket.AF_INET6, (raw or b"").ljust(16, b"\0")[:16])
 
     def run(batches):
         for batch in batches:
             heads = ["recv_us", "exporter", "version", "domain", "export_s", "boot_s", "template_id"]
             rows = []
             for *head, body, fields in zip(*(batch.column(c).to_pylist() for c in [*heads, "body", "template"])):
-                rows += [(*head, list(v.items())) for v in _records(body, fields)]
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.map_(pa.int32(), pa.binary()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], [*heads, "values"])
+                rows += [(*head, list(v.items()), text(v.get(27)), text(v.get(28))) for v in _records(body, fields)]
+            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.map_(pa.int32(), pa.binary()), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], [*heads, "values", "src_v6", "dst_v6"])
 
     ready = matched.where("template IS NOT NULL")
-    return ready.mapInArrow(run, "recv_us long, exporter string, version int, domain long, export_s double, boot_s double, template_id int, values map<int, binary>")
+    return ready.mapInArrow(run, "recv_us long, exporter string, version int, domain long, export_s double, boot_s double, template_id int, values map<int, binary>, src_v6 string, dst_v6 string")
 
 
 def normalized(records: DataFrame) -> DataFrame:
@@ -197,8 +202,8 @@ def normalized(records: DataFrame) -> DataFrame:
     some = lambda *es: F.coalesce(*(F.nullif(num(e), F.lit(0)) for e in es), F.lit(0).cast("long"))
     v4 = F.length(raw(8)) == 4
     v6 = F.length(raw(27)) == 16
-    zero = F.unhex(F.lit("00" * 16))
-    pick = lambda a, b: F.when(v4, ipv4_text(F.coalesce(raw(a), zero), 1)).otherwise(ipv6_text(F.coalesce(raw(b), zero)))
+    zero = F.unhex(F.lit("00" * 4))
+    pick = lambda element, six: F.when(v4, ipv4_text(F.coalesce(raw(element), zero), 1)).otherwise(F.col(six))
     has = lambda e: F.map_contains_key("values", F.lit(e))
     boot = F.col("boot_s")
     when = lambda ms, s, us, up: (
@@ -207,25 +212,13 @@ def normalized(records: DataFrame) -> DataFrame:
     start, end, proto = when(152, 150, 154, 22), when(153, 151, 155, 21), num(4)
     return _in_order(records.where(F.coalesce(v4, F.lit(False)) | F.coalesce(v6, F.lit(False))).select(
         F.round(F.when(F.col("export_s") != 0, F.col("export_s")).otherwise(F.col("recv_us") / F.lit(1e6)), 3).alias("epoch"), "exporter", "version", F.col("domain").alias("observation_domain"), "template_id",
-        pick(8, 27).alias("src_ip"), pick(12, 28).alias("dst_ip"), num(7).alias("src_port"), num(11).alias("dst_port"), proto.alias("protocol"), proto_name(proto).alias("protocol_name"), num(6).alias("tcp_flags"),
+        pick(8, "src_v6").alias("src_ip"), pick(12, "dst_v6").alias("dst_ip"), num(7).alias("src_port"), num(11).alias("dst_port"), proto.alias("protocol"), proto_name(proto).alias("protocol_name"), num(6).alias("tcp_flags"),
         F.when(v4, 4).otherwise(6).alias("ip_version"), some(2, 86, 24).alias("packets"), some(1, 85, 23).alias("bytes"), F.round(start, 3).alias("first_switched"), F.round(end, 3).alias("last_switched"),
         F.round(F.greatest(F.lit(0.0), end - start), 3).alias("duration_s"), num(10).alias("input_if"), num(14).alias("output_if"), num(58).alias("src_vlan"), num(5).alias("tos"), num(16).alias("src_asn"), num(17).alias("dst_asn"),
         F.coalesce(F.nullif(some(34, 305), F.lit(0)), F.lit(1)).alias("sampling_rate"),
     ))
 
 
-def ipv6_text(raw: Column) -> Column:
-    """Sixteen bytes as IPv6 text, the longest run of zero groups shortened (the first of equally long ones)."""
-    groups = [F.lower(F.regexp_replace(F.hex(F.substring(raw, F.lit(1 + 2 * k), F.lit(2))), "^0{1,3}", "")) for k in range(8)]
-    full = F.concat_ws(":", *groups)
-    out = full
-    for run in range(2, 9):  # longer runs are put on top
-        pattern = f"^(.*?)(^|:)0(?::0){{{run - 1}}}(:|$)(.*)$"
-        short = F.concat(F.regexp_extract(full, pattern, 1), F.lit("::"), F.regexp_extract(full, pattern, 4))
-        out = F.when(full.rlike(pattern), short).otherwise(out)
-    return out
-
-
 def flow_exports(datagrams: DataFrame, ttl_s: int = TEMPLATE_TTL_S) -> DataFrame:
     """Rows of all versions."""
     return netflow_v5(datagrams).unionByName(normalized(data_records(with_template(export_sets(datagrams), ttl_s))))

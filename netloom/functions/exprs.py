@@ -173,7 +173,7 @@ def ipv4_text(raw: Column, start: int | Column) -> Column:
 
 def octet_text(raw: Column) -> Column:
     """Bytes as text where all are printable, else as hex pairs with colons."""
-    text = F.decode(raw, "latin1")
+    text = F.decode(raw, "iso-8859-1")
     return F.when(text.rlike(r"^[\x20-\x7e\r\n\t]*$"), text).otherwise(F.regexp_replace(F.lower(F.hex(raw)), "(..)(?!$)", "$1:"))
 
 

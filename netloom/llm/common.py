@@ -62,9 +62,35 @@ def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTE
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
-def sql_list(values) -> str:
-    """SQL string literals, separated by commas."""
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+#: Rows that pass to Python at a time where rows hold whole texts.
+TEXT_ROWS = 2000
+
+
+def texts_of(df: DataFrame) -> DataFrame:
+    """``df``, with the session set to pass rows to Python in batches small enough for whole texts.
+
+    A batch stands several times in memory (Arrow, Python objects, results),
+    and two tasks of an executor have one each.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return df
+
+
+_CACHE: dict = {}
+
+
+def worker_cache(key, build):
+    """What a Python worker keeps from task to task: one thing at a time.
+
+    A worker serves one operator after another.  Asking for another key drops
+    what the worker held before, so tables of past operators don't add up.
+    """
+    if key not in _CACHE:
+        _CACHE.clear()
+        _CACHE[key] = build()
+    return _CACHE[key]
 
 
 def local_files() -> str:

@@ -16,7 +16,8 @@ Models are fitted on a bounded sample of labelled rows on the driver (see
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netloom.llm.common import texts_of, worker_cache
+
 WORDS = re.compile(r"\w+")
 #: Letters of the word stems that are features beside whole words.
 STEMS = (5, 7)
@@ -106,6 +109,7 @@ class Chain:
     models: list[Linear]
     column: dict[int, int]
     limit: float
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def score(self, found: list[list[int]]) -> np.ndarray:
         """Probabilities, one row a document, one column a category, from the feature numbers of documents."""
@@ -118,12 +122,14 @@ class Chain:
         return out
 
 
-def fit_chain(found: list[list[int]], labels: dict[str, np.ndarray], sample: Sample = Sample()) -> Chain:
-    """Fit the chain to documents given by feature numbers; ``labels`` holds 0/1 arrays in chain order, the last decides."""
-    n, last = len(found), list(labels)[-1]
+def fit_chain(flat: np.ndarray, owner: np.ndarray, labels: dict[str, np.ndarray], sample: Sample = Sample()) -> Chain:
+    """Fit the chain to documents; ``flat`` holds feature numbers and ``owner`` the document of each.
+
+    ``labels`` holds 0/1 arrays in chain order; the last decides.
+    """
+    last = list(labels)[-1]
     y = labels[last]
-    flat = np.array([x for f in found for x in f], np.int64)
-    owner = np.repeat(np.arange(n), [len(f) for f in found]).astype(np.int64)
+    n = len(y)
     numbers, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
     hits = np.bincount(inverse, y[owner], len(numbers)) if len(flat) else np.zeros(0)
     base = y.mean() if n else 0.0
@@ -137,7 +143,7 @@ def fit_chain(found: list[list[int]], labels: dict[str, np.ndarray], sample: Sam
     keep = place[inverse] >= 0 if len(flat) else np.zeros(0, bool)
     rows, columns, width = owner[keep], place[inverse][keep] if len(flat) else flat, len(chosen)
     fold = np.arange(n) % sample.folds
-    models, before, fitted = [], np.zeros((n, 0)), np.zeros((n, 0))
+    models, before = [], np.zeros((n, 0))
     for label in labels.values():
         models.append(fit_linear(rows, columns, width, before, label))
         out = np.zeros(n)
@@ -171,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), cues: d
     rows = labels.where(F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("__id"), "__id"]
     chosen = rows.where("toxic = 1").orderBy(*order).limit(sample.toxic).unionByName(rows.where("toxic <> 1").orderBy(*order).limit(sample.other))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id").select("__id", "text", "toxic")
+    texts = texts_of(docs).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id").select("__id", "text", "toxic")
 
     def read(batches):
         known = _Features()
@@ -182,15 +188,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), cues: d
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32())), pa.array(said, pa.list_(pa.bool_()))], ["id", "toxic", "features", "cues"])
 
     seen = texts.select(F.col("__id").cast("long").alias("id"), "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(read, "id long, toxic int, features array<int>, cues array<boolean>")
-    table = seen.toArrow().sort_by("id")
-    found, once = table.column("features").to_pylist(), {}
-    for k, f in enumerate(found):
-        once.setdefault((tuple(f), table.column("toxic")[k].as_py()), k)
-    at = sorted(once.values())
-    toxic = np.array(table.column("toxic").to_pylist(), float)[at] if at else np.zeros(0)
+    table = seen.toArrow().sort_by("id").combine_chunks()
+    lists = table.column("features").chunk(0) if len(table) else pa.array([], pa.list_(pa.int32()))
+    flat, bounds = np.asarray(lists.flatten()), np.asarray(lists.offsets) - (lists.offsets[0].as_py() if len(lists.offsets) else 0)
+    label = np.asarray(table.column("toxic"), float)
+    once: dict[tuple, int] = {}
+    for k in range(len(lists)):
+        once.setdefault((xxhash.xxh3_128_digest(flat[bounds[k] : bounds[k + 1]].tobytes()), label[k]), k)
+    at = np.array(sorted(once.values()), np.int64)
+    place = np.full(len(lists), -1)
+    place[at] = np.arange(len(at))
+    owner = np.repeat(place, np.diff(bounds))
+    flat, owner = flat[owner >= 0], owner[owner >= 0]
+    toxic = label[at]
     cue = np.array(table.column("cues").to_pylist(), float).reshape(-1, len(cues))[at]
     chain_labels = {name: toxic * cue[:, k] for k, name in enumerate(cues)} | {"toxic": toxic}
-    return fit_chain([found[k] for k in at], chain_labels, sample)
+    return fit_chain(flat, owner, chain_labels, sample)
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,14 +215,14 @@ def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     names = [f"p_{n}" for n in chain.names]
 
     def run(batches):
-        known = _Columns(chain.column)
+        known = worker_cache(("toxicity", chain.key), lambda: _Columns(chain.column))
         for batch in batches:
             found = [known.of(t) for t in batch.column(1).to_pylist()]
             p = chain.score(found)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(p[:, k]) for k in range(len(names))), pa.array(p[:, -1] >= chain.limit)], ["doc_id", *names, "toxic"])
 
     kinds = ", ".join(f"{n} double" for n in names)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id long, {kinds}, toxic boolean")
+    return texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id long, {kinds}, toxic boolean")
 
 
 class _Columns(dict):
@@ -236,12 +249,12 @@ def drop_toxic(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col:
     at = schema.names.index(text_col)
 
     def run(batches):
-        known = _Columns(chain.column)
+        known = worker_cache(("toxicity", chain.key), lambda: _Columns(chain.column))
         for batch in batches:
             p = chain.score([known.of(t) for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array(p[:, -1] < chain.limit))
 
-    return docs.mapInArrow(run, schema)
+    return texts_of(docs).mapInArrow(run, schema)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

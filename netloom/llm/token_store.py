@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import drop_scratch, local_files, scratch
+from netloom.llm.common import drop_scratch, local_files, scratch, worker_cache
 from netloom.llm.words import IdLists, SegmentTable
 
 WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 16, 64, 9, 4096
@@ -100,10 +100,10 @@ class _Tokenizer:
         return np.fromiter(chain.from_iterable(lists), np.int64, int(length.sum())), length
 
 
-@lru_cache(maxsize=1)
 def _tokenizer_table(spec: str) -> SegmentTable:
     """A worker keeps its table from task to task."""
-    return SegmentTable(lambda text: WORD.findall(text) if ODD.search(text) else text.split(), _Tokenizer(spec).words)
+    split = lambda text: WORD.findall(text) if ODD.search(text) else text.split()
+    return worker_cache(("tokenizer", hash(spec)), lambda: SegmentTable(split, _Tokenizer(spec).words))
 
 
 def rolling_hash(ids: np.ndarray) -> np.ndarray:

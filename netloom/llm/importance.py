@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import bounded_broadcast, materialize
+from netloom.llm.common import bounded_broadcast, materialize, texts_of, worker_cache
 
 BUCKET_BITS = 14
 TOKENS = re.compile(r"\w+|[^\w\s]+")
@@ -68,7 +68,8 @@ def bucket_counts(docs: DataFrame, is_target: Column, text_col: str = "text", bi
     """bucket, raw, target: how often each bucket occurs in all documents and in the target ones."""
 
     def run(batches):
-        bags, raw, target = Bags(bits), np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        bags = worker_cache(("bags", bits), lambda: Bags(bits))
+        raw, target = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
         for batch in batches:
             chosen = np.array(batch.column(1).to_pylist(), bool)
             for first, last, bucket, owner in bags.blocks(batch.column(0).to_pylist()):
@@ -77,7 +78,7 @@ def bucket_counts(docs: DataFrame, is_target: Column, text_col: str = "text", bi
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
 
-    counted = docs.select(F.col(text_col).alias("text"), F.coalesce(is_target, F.lit(False)).alias("chosen")).mapInArrow(run, "bucket int, raw long, target long")
+    counted = texts_of(docs).select(F.col(text_col).alias("text"), F.coalesce(is_target, F.lit(False)).alias("chosen")).mapInArrow(run, "bucket int, raw long, target long")
     return counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -100,16 +101,16 @@ def keyed(docs: DataFrame, ratio: np.ndarray, seed: int, id_col: str = "doc_id",
     """doc_id, n_grams, log_weight, key of each document."""
 
     def run(batches):
-        bags = Bags(bits)
+        bags = worker_cache(("bags", bits), lambda: Bags(bits))
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, last, bucket, owner in bags.blocks(texts):
                 n = np.bincount(owner, minlength=last - first)
-                weight = np.bincount(owner, ratio[bucket], last - first)
+                weight = np.bincount(owner, ratio[bucket], last - first).astype(float)
                 noise = [gumbel(i, t, seed) for i, t in zip(ids[first:last], texts[first:last])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(n), pa.array(weight), pa.array(weight + np.array(noise))], ["doc_id", "n_grams", "log_weight", "key"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_grams long, log_weight double, key double")
+    return texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_grams long, log_weight double, key double")
 
 
 def with_order(rows: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import bounded_broadcast, materialize
+from netloom.llm.common import bounded_broadcast, materialize, texts_of, worker_cache
 from netloom.llm.components import components
 
 N, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9999, 320
@@ -105,7 +105,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int, id_col: str, text
     """doc_id, sig, n, bands of each document; bands are null where the task has given them for the same set before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, given = Shingler(n, bands, rows), set()
+        shingler, given = worker_cache(("shingler", n, bands, rows), lambda: Shingler(n, bands, rows)), set()
         for batch in batches:
             sigs, sizes, flat, offsets, nulls = [], [], [], [0], []
             for text in batch.column(1).to_pylist():
@@ -123,11 +123,11 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int, id_col: str, text
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pa.array(nulls, pa.bool_()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), lists], ["doc_id", "sig", "n", "bands"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null").mapInArrow(run, "doc_id long, sig binary, n int, bands array<long>")
+    return texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null").mapInArrow(run, "doc_id long, sig binary, n int, bands array<long>")
 
 
 def _tasks(members: DataFrame, threshold: float, block: int) -> DataFrame:
-    """id, sig, tasks: where each member is compared, as (key, side)."""
+    """id, sig, tasks: where each member is compared, as (key, side); side 0 with all others, 1 and 2 with each other."""
     size = members.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     sized = members.join(size, "component").withColumn("band", F.floor(F.ln("n") / math.log(1 / threshold)).cast("int"))
     small = sized.where(F.col("members") <= block).select("id", "sig", F.array(F.struct(F.col("component").cast("string").alias("key"), F.lit(0).alias("side"))).alias("tasks"))
@@ -139,15 +139,15 @@ def _tasks(members: DataFrame, threshold: float, block: int) -> DataFrame:
     upto = lambda c: F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
     key = lambda lower, i, upper, j: F.concat_ws(":", "component", lower, i, upper, j)
     band, k = F.col("band"), F.col("k")
-    same = F.transform(upto("own"), lambda x: F.struct(key(band, F.least(k, x), band, F.greatest(k, x)).alias("key"), (k > x).cast("int").alias("side")))
-    up = F.transform(upto("above"), lambda x: F.struct(key(band, k, band + 1, x).alias("key"), F.lit(0).alias("side")))
-    down = F.transform(upto("below"), lambda x: F.struct(key(band - 1, x, band, k).alias("key"), F.lit(1).alias("side")))
+    same = F.transform(upto("own"), lambda x: F.struct(key(band, F.least(k, x), band, F.greatest(k, x)).alias("key"), F.when(k == x, 0).when(k < x, 1).otherwise(2).alias("side")))
+    up = F.transform(upto("above"), lambda x: F.struct(key(band, k, band + 1, x).alias("key"), F.lit(1).alias("side")))
+    down = F.transform(upto("below"), lambda x: F.struct(key(band - 1, x, band, k).alias("key"), F.lit(2).alias("side")))
     return small.unionByName(with_blocks.select("id", "sig", F.concat(same, up, down).alias("tasks")))
 
 
 def _sets(n: int):
     def run(batches):
-        shingler = Shingler(n)
+        shingler = worker_cache(("shingler", n, 1, 1), lambda: Shingler(n))
         for batch in batches:
             rows = []
             for at, (sig, text) in enumerate(zip(batch.column("sig").to_pylist(), batch.column("text").to_pylist())):
@@ -159,7 +159,7 @@ def _sets(n: int):
 
 
 def compare(ids: np.ndarray, sets: list[np.ndarray], sides: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All links among ``sets``, or between the two sides if both occur: index, index, similarity."""
+    """All links among ``sets`` of side 0, or between those of sides 1 and 2: index, index, similarity."""
     flat = np.concatenate(sets)
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), size)

@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import local_files
+from netloom.llm.common import local_files, texts_of, worker_cache
 from netloom.llm.words import SegmentTable
 
 SPACE = "▁"
 #: Stand-ins that no UTF-8 text has: the piece space, and the border of two segments.
 SPACE_BYTE, BORDER = 0xFE, 0xFF
 #: Bytes of distinct segments in one suffix array.
-ARRAY_BYTES = 400_000
+ARRAY_BYTES = 120_000
 #: Longer segments are relaxed one by one.
 LEVELS = 96
 NEVER = 1 << 40
@@ -191,7 +191,7 @@ def occurrences(data: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarra
     count = np.maximum(high - low, 0)
     end = np.cumsum(count)
     take = np.arange(end[-1] if len(end) else 0) + np.repeat(low - (end - count), count)
-    return np.repeat(pieces.ids, count), order[take]
+    return np.repeat(pieces.ids, count).astype(np.int32), order[take].astype(np.int32)
 
 
 def encode_segments(segments: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -223,17 +223,19 @@ def _encode_array(coded: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.nd
     width = np.diff(np.concatenate([char_at, [len(data)]]))
     single[start[pieces.length[piece] == width[of_char[start]]]] = True
     bare = np.flatnonzero(~single[char_at][of_char] & (data != BORDER))
-    piece, start = np.concatenate([piece, pieces.byte_id[data[bare]]]), np.concatenate([start, bare])
-    if (piece < 0).any():
-        raise ValueError("the model has no byte pieces for unknown characters")
-    end = start + pieces.length[piece]
-    word = np.repeat(np.arange(len(coded)), length + 1)
-    level = end - begin[word[start]]
+    bare = bare[pieces.byte_id[data[bare]] >= 0]
+    piece = np.concatenate([piece, pieces.byte_id[data[bare]].astype(np.int32)])
+    start = np.concatenate([start, bare.astype(np.int32)])
+    end = start + pieces.length[piece].astype(np.int32)
+    word = np.repeat(np.arange(len(coded), dtype=np.int32), length + 1)
+    level = end - begin[word[start]].astype(np.int32)
     last = np.full(len(data) + 1, -1, np.int64)
     best = np.full(len(data) + 1, -np.inf)
     long = length[word[start]] > LEVELS
     _relax_levels(pieces, piece[~long], start[~long], end[~long], level[~long], begin[word[start[~long]]], last, best)
     _relax_single(pieces, piece[long], start[long], end[long], begin[word[start[long]]], last, best)
+    if (last[(begin + length)[length > 0]] < 0).any():
+        raise ValueError("no pieces cover some segment, and the model has no byte pieces")
     return _walk(pieces, last, begin, begin + length)
 
 
@@ -251,7 +253,7 @@ def _relax_levels(pieces, piece, start, end, level, begin, last, best) -> None:
         if pieces.bpe:
             ok = opens.copy()
             rest = np.flatnonzero(~opens)
-            ok[rest] = pieces.follows(last[s[rest]], p[rest])
+            ok[rest] = pieces.follows(last[s[rest]], p[rest].astype(np.int64))
             last[end[e[ok]]] = p[ok]
         else:
             total = np.where(opens, 0.0, best[s]) + pieces.score[p]
@@ -301,15 +303,9 @@ def decode(ids, pieces: Pieces) -> str:
     return raw[1:] if raw.startswith(" ") else raw
 
 
-_TABLES: dict[str, SegmentTable] = {}
-
-
 def encoder(pieces: Pieces) -> SegmentTable:
     """The segment table of a vocabulary; a worker keeps it from task to task."""
-    if pieces.key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[pieces.key] = SegmentTable(split_segments, lambda s: encode_segments(s, pieces))
-    return _TABLES[pieces.key]
+    return worker_cache(("sentencepiece", pieces.key), lambda: SegmentTable(split_segments, lambda s: encode_segments(s, pieces)))
 
 
 def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -328,7 +324,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "d
                 rows = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(rows)), rows], ["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode_documents(coded: DataFrame, model: str | None = None) -> DataFrame:
@@ -357,7 +353,7 @@ def encode_with_check(docs: DataFrame, model: str | None = None, id_col: str = "
                 rows = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), rows, pa.array(np.diff(bounds), pa.int64()), pa.array(same, pa.bool_())], ["doc_id", "ids", "n_pieces", "round_trip"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>, n_pieces long, round_trip boolean")
+    return texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>, n_pieces long, round_trip boolean")
 
 
 def encode_check(docs: DataFrame, model: str | None = None) -> DataFrame:
@@ -384,7 +380,7 @@ def encode_check(docs: DataFrame, model: str | None = None) -> DataFrame:
                     same.append(text == (texts[first + k] or "").replace(SPACE, " "))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(n)), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(sha), pa.array(same)], ["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
+    return texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean")
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

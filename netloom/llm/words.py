@@ -13,9 +13,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Segments held before a table starts anew; this bounds a worker's memory.
-TABLE_SEGMENTS = 500_000
+TABLE_SEGMENTS = 400_000
 #: Characters of text put together at a time.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 
 
 class IdLists:

@@ -23,7 +23,7 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import accumulate, chain
+from itertools import accumulate, chain, compress
 from pathlib import Path
 
 import numpy as np
@@ -32,78 +32,72 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import drop_scratch, local_files, scratch, worker_cache
-from netloom.llm.words import IdLists, SegmentTable
+from netloom.llm.common import drop_scratch, local_files, scratch, texts_of, worker_cache
+from netloom.llm.words import SegmentTable
 
 WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 16, 64, 9, 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
-#: Tokens never hold or cross white space.  The other signs at which str.split would cut are left to the tokenizer.
+#: Tokens never hold or cross white space.
 WORD = re.compile("[^\t-\r ]+")
-ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Lower-case letters whose lower case and composed form are themselves; the tokenizer's pattern takes a run of them whole.
-PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
-LATIN = re.compile("[\x00-\xff]*").fullmatch
-CORES = 500_000
+_LETTER, _DIGIT = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+#: The tokenizer's own pattern, for lower-case texts of U+0000 to U+00FF.
+PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\t-\r \x85\xa0{_LETTER}{_DIGIT}]+")
+
+LATIN = re.compile("[\x00-\xff]*")
+
+
+def split_parts(text: str) -> list[str]:
+    """Segments of a text whose ids, one after the other, are the text's.
+
+    Where the tokenizer's normaliser only changes case (texts of U+0000 to
+    U+00FF without special tokens) they are the parts that its pattern finds;
+    elsewhere they are the words between white space.
+    """
+    if "<|" not in text:
+        try:
+            text.encode("latin-1")
+            return PART.findall(text.lower())
+        except UnicodeEncodeError:
+            pass
+    return WORD.findall(text)
 
 
 class _Tokenizer:
-    """Encodes distinct words with the tokenizers library.
+    """Encodes distinct segments with the tokenizers library.
 
-    Words that differ in case or in a closing point or comma share a core,
-    which is encoded once.  A core of plain letters passes the tokenizer's
-    normaliser and pattern unchanged and whole, so those steps are left out
-    for it; all other words go through the tokenizer as it is.
+    A segment that is one part already goes through the model alone, without
+    the normaliser and the pattern, which would leave it as it is; all others
+    go through the tokenizer whole.
     """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         plain = json.loads(spec)
-        split = next(p for p in plain["pre_tokenizer"]["pretokenizers"] if p["type"] == "ByteLevel")
-        self.whole, self.plain = Tokenizer.from_str(spec), Tokenizer.from_str(json.dumps({**plain, "normalizer": None, "pre_tokenizer": split, "added_tokens": []}))
-        self.cores = IdLists()
+        to_bytes = next(p for p in plain["pre_tokenizer"]["pretokenizers"] if p["type"] == "ByteLevel")
+        self.whole, self.plain = Tokenizer.from_str(spec), Tokenizer.from_str(json.dumps({**plain, "normalizer": None, "pre_tokenizer": to_bytes, "added_tokens": []}))
         vocabulary = plain["model"]["vocab"]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.cores.at) > CORES:
-            self.cores = IdLists()
-        parts = []
-        for w in words:
-            low = w.lower() if LATIN(w) else w
-            if PLAIN(low):
-                parts += (low, "")
-            elif low[-1] in ".," and PLAIN(low[:-1]):
-                parts += (low[:-1], low[-1])
-            else:
-                parts += (w, "")
-        which = self.cores.numbers(parts)
-        if self.cores.new:
-            self.cores.learn(*self._encode(self.cores.new))
-        ids, length = self.cores.gather(which)
-        return ids, length[::2] + length[1::2]
-
-    def _encode(self, cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [c for c in cores if PLAIN(c)]
-        found: dict[str, list[int]] = {}
-        for k in range(0, len(plain), 500):
-            part = plain[k : k + 500]
-            ids = self.plain.encode_batch_fast([part], add_special_tokens=False, is_pretokenized=True)[0].ids
-            ends = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]  # one end a word
-            found.update((w, ids[a:b]) for w, a, b in zip(part, ends, ends[1:]))
-        rest = [c for c in cores if c not in found]
-        found.update(zip(rest, (e.ids for e in self.whole.encode_batch_fast(rest, add_special_tokens=False))))
-        lists = [found[c] for c in cores]
+    def encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        single = [PART.fullmatch(s) is not None and LATIN.fullmatch(s) is not None and s == s.lower() for s in segments]
+        parts, rest = list(compress(segments, single)), [s for s, one in zip(segments, single) if not one]
+        ids = np.concatenate([np.zeros(0, np.int64), *(self.plain.encode_batch_fast([parts[k : k + 500]], add_special_tokens=False, is_pretokenized=True)[0].ids for k in range(0, len(parts), 500))]).astype(np.int64)
+        ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])  # one end a part
+        if not rest:
+            return ids, np.diff(ends)
+        other = iter([e.ids for e in self.whole.encode_batch_fast(rest, add_special_tokens=False)])
+        own = iter(np.split(ids, ends[1:-1])) if parts else iter(())
+        lists = [next(own) if one else next(other) for one in single]
         length = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter(chain.from_iterable(lists), np.int64, int(length.sum())), length
 
 
 def _tokenizer_table(spec: str) -> SegmentTable:
     """A worker keeps its table from task to task."""
-    split = lambda text: WORD.findall(text) if ODD.search(text) else text.split()
-    return worker_cache(("tokenizer", hash(spec)), lambda: SegmentTable(split, _Tokenizer(spec).words))
+    return worker_cache(("tokenizer", hash(spec)), lambda: SegmentTable(split_parts, _Tokenizer(spec).encode))
 
 
 def rolling_hash(ids: np.ndarray) -> np.ndarray:
@@ -174,7 +168,7 @@ def chunked(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str, text
                 stream[at] = ids
                 yield _chunk_rows(batch, first, stream, ends, given)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+    rows = texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id long, row long, n_tokens long, root binary, chunks array<{CHUNK}>")
 
 

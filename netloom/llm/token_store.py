@@ -46,6 +46,9 @@ PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\t-\r \x85
 
 LATIN = re.compile("[\x00-\xff]*")
 
+#: Parts that a worker's table holds; some 150 MB.
+PARTS = 1_000_000
+
 
 def split_parts(text: str) -> list[str]:
     """Segments of a text whose ids, one after the other, are the text's.
@@ -97,7 +100,7 @@ class _Tokenizer:
 
 def _tokenizer_table(spec: str) -> SegmentTable:
     """A worker keeps its table from task to task."""
-    return worker_cache(("tokenizer", hash(spec)), lambda: SegmentTable(split_parts, _Tokenizer(spec).encode))
+    return worker_cache(("tokenizer", hash(spec)), lambda: SegmentTable(split_parts, _Tokenizer(spec).encode, PARTS))
 
 
 def rolling_hash(ids: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ look-ups.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 
@@ -28,9 +29,9 @@ class IdLists:
         self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
-    def numbers(self, strings: list[str]) -> np.ndarray:
-        """The number of each string; unknown ones get the next numbers and are noted in ``new``."""
-        return np.fromiter(map(self.at.__getitem__, strings), np.int64, len(strings))
+    def numbers(self, lists: list[list[str]]) -> np.ndarray:
+        """The number of each string of all lists; unknown ones get the next numbers and are noted in ``new``."""
+        return np.fromiter(map(self.at.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
 
     def learn(self, flat: np.ndarray, length: np.ndarray) -> None:
         """The ids of all strings in ``new``, in their order."""
@@ -68,7 +69,7 @@ class SegmentTable:
         split = [self.split(t) for t in texts]
         if len(self.lists.at) > self.limit:
             self.lists = IdLists()
-        which = self.lists.numbers([s for x in split for s in x])
+        which = self.lists.numbers(split)
         if self.lists.new:
             self.lists.learn(*self.encode(self.lists.new))
         ids, length = self.lists.gather(which)

@@ -117,7 +117,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns."""
     index = DedupIndex(docs, id_col, text_col)
     # A row goes if a smaller id has its text.  The pair (id, digest) names it.
-    gone = index.runs.join(index.level.where("size > 1"), "digest").where("not (doc <=> keep)").select(F.col("doc").alias("__doc"), F.col("digest").alias("__digest")).distinct()
+    gone = index.runs.join(index.level.where("size > 1"), "digest").where("not (doc <=> keep)").select(F.col("doc").alias("__doc"), F.col("digest").alias("__digest"))
     gone = materialize(gone, "dedup-gone")
     again = materialize(index.runs.groupBy("doc", "digest").count().where("count > 1").select(F.col("doc").alias("__doc"), F.col("digest").alias("__digest")), "dedup-again")
     keyed = docs.withColumn("__key", sha256_bytes(normalized(F.col(text_col))))

@@ -250,3 +250,30 @@ def test_pipeline(spark, docs):
     lib = sentencepiece.SentencePieceProcessor(model_file="/opt/tokenizers/piece_bpe_32k.model")
     got = {r["doc_id"]: r["ids"] for r in corpus_pipeline.run(spark, DATA).collect()}
     assert got == {i: lib.encode(t or "") for i, t in left.items()}
+
+
+def _found(item, text, min_cover=decontamination.MIN_COVER):
+    t = decontamination.Templater()
+    table = decontamination.BenchmarkTable([(1, item)])
+    table.build(t)
+    return list(table.matches(t, text, min_cover))
+
+
+_APPLES = "when the market in the village opens early Ann takes 3 baskets of ripe red apples from her old garden and then walks along the river until she meets her friend and sells half of them for 2 coins each"
+
+
+@pytest.mark.parametrize("text", [
+    _APPLES.replace("Ann", "Mary Ann").replace("for 2 coins", "for 1 1/2 coins"),
+    _APPLES.replace("ripe red", "ripe and red").replace("walks along", "along"),
+    _APPLES.replace("Ann", "Mary Ann Lee").replace("3", "4 1/2").replace("until she", "until at last she"),
+])
+def test_op6_slots_and_words_of_other_length(text):
+    ((_, cover, position, _),) = _found(_APPLES, "some words before it " + text)
+    assert cover >= 0.5 and position == 4
+    assert not _found(_APPLES, " ".join(text.split()[::-1]))
+
+
+def test_op6_stretches_far_apart_are_not_joined():
+    words = _APPLES.split()
+    part = " ".join(words[:12]) + " filler" * 40 + " " + " ".join(words[-12:])
+    assert not _found(_APPLES, part, 0.5)

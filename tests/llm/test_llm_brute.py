@@ -277,3 +277,15 @@ def test_op6_stretches_far_apart_are_not_joined():
     words = _APPLES.split()
     part = " ".join(words[:12]) + " filler" * 40 + " " + " ".join(words[-12:])
     assert not _found(_APPLES, part, 0.5)
+
+
+@pytest.mark.parametrize("item", ["Compute 12 + 7 * 3 - 5 + 9 + 11", "Ann has 5 kg", "Ann Lee, Bob Ray, Carl Fox, Dan Poe, Eve Kim", "3 May 1901, 7 June 1980, 8 July 1990 and 9 May 1982"])
+def test_op6_copies_with_few_plain_words(item):
+    assert _found(item, f"words before it. {item}. And words after it")[0][1] == 1
+    other = item.replace("5", "6").replace("Bob", "Tom").replace("1901", "1902")
+    assert not _found(item, f"words before it. {other}. And words after it", 0.9)
+
+
+def test_op6_windows_with_few_plain_words_count_for_cover():
+    item = "please add up these numbers for us " + " ".join(str(7 * k) for k in range(20))
+    assert _found(item, "now " + item)[0][1] == 1

@@ -289,3 +289,14 @@ def test_op6_copies_with_few_plain_words(item):
 def test_op6_windows_with_few_plain_words_count_for_cover():
     item = "please add up these numbers for us " + " ".join(str(7 * k) for k in range(20))
     assert _found(item, "now " + item)[0][1] == 1
+
+
+def test_op6_passages_of_long_items():
+    words = [f"word{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyz'[k // 100]}" for k in range(400)]
+    item = " ".join(words)
+    for n, found in ((150, True), (13, True), (12, False)):
+        assert bool(_found(item, "before it " + " ".join(words[200 : 200 + n]) + " after it")) is found
+    apples = _APPLES.split()
+    assert _found(_APPLES + " and more words" * 20, "before " + " ".join(apples[4:31]).replace("Ann", "Eve"))
+    # changed slots do not make up the number: 13 tokens, one of them another name
+    assert not _found(_APPLES + " and more words" * 20, "before " + " ".join(apples[:13]).replace("Ann", "Eve"))

@@ -6,8 +6,9 @@ before it.  For training, those probabilities are out-of-fold predictions, so
 a later model sees its predecessors make the errors they make on new text.
 
 Labelled rows give the last category, ``toxic``.  The categories before it are
-what a toxic row says: a row has one if it is labelled toxic and holds one of
-the category's cue words.
+groups of toxic rows, found in the sample itself: the features that speak most
+for ``toxic`` are clustered by the rows that hold them, and a toxic row belongs
+to the group whose features it holds most of.  No word list is built in.
 
 Models are fitted on a bounded sample of labelled rows on the driver (see
 ``Sample``); every document is then scored whole.
@@ -28,15 +29,12 @@ from pyspark.sql import functions as F
 from netloom.llm.common import texts_of, worker_cache
 
 WORDS = re.compile(r"\w+")
-#: Letters of the word stems that are features beside whole words.
-STEMS = (5, 7)
+#: Letters of the word stems that are features beside whole words; the labelled sample chooses among them.
+STEMS = tuple(range(3, 10))
 BUCKETS = 1 << 24
 
-#: Cue words of the categories that come before the last.
-CUES = {
-    "insult": frozenset("clown idiot loser moron stupid".split()),
-    "contempt": frozenset("disgusting pathetic scum trash worthless".split()),
-}
+#: Names of the categories that come before the last, for groups of toxic rows from the largest to the smallest.
+GROUPS = ("insult", "contempt")
 
 
 @dataclass(frozen=True)
@@ -57,7 +55,7 @@ class _Features(dict):
     """Feature numbers of a word: itself and its stems."""
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        value = self[word] = (_hash("=" + word), *(_hash(f"{k}{word[:k]}") for k in STEMS if len(word) > k))
+        value = self[word] = (_hash("=" + word), *(_hash(f"{k}{word[:k]}") for k in STEMS if len(word) >= k))
         return value
 
 
@@ -122,6 +120,48 @@ class Chain:
         return out
 
 
+def _standing_out(flat: np.ndarray, owner: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature numbers, the place of each entry of ``flat`` among them, and how far their rate of ``y`` is from the base rate, in standard deviations; rare ones are left out (0)."""
+    numbers, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
+    hits = np.bincount(inverse, y[owner], len(numbers)) if len(flat) else np.zeros(0)
+    base = y.mean() if len(y) else 0.0
+    score = (hits - count * base) / np.sqrt(count * max(base * (1 - base), 1e-9) + 1e-9)
+    score[count < 5] = 0
+    return numbers, inverse, score
+
+
+def toxic_groups(flat: np.ndarray, owner: np.ndarray, toxic: np.ndarray, names: tuple[str, ...] = GROUPS, strong: int = 256, rounds: int = 20) -> dict[str, np.ndarray]:
+    """0/1 arrays of the groups of toxic rows, the largest group first.
+
+    The ``strong`` features that stand out most for toxic rows are unit vectors
+    over the toxic rows that hold them; they are clustered by cosine, from
+    starts that lie far apart.  A row without such a feature has no group.
+    """
+    n, k = len(toxic), len(names)
+    out = {name: np.zeros(n) for name in names}
+    numbers, inverse, score = _standing_out(flat, owner, toxic)
+    chosen = np.argsort(-score, kind="stable")[:strong]
+    chosen = chosen[score[chosen] > 3]
+    if len(chosen) < k:
+        return out
+    place = np.full(len(numbers), -1)
+    place[chosen] = np.arange(len(chosen))
+    use = (place[inverse] >= 0) & (toxic[owner] > 0)
+    held = np.zeros((len(chosen), n), np.float32)
+    held[place[inverse[use]], owner[use]] = 1
+    unit = held / np.maximum(np.linalg.norm(held, axis=1, keepdims=True), 1e-9)
+    centres = [unit[0]]
+    while len(centres) < k:
+        centres.append(unit[np.argmin(np.max(unit @ np.array(centres).T, axis=1))])
+    for _ in range(rounds):
+        group = np.argmax(unit @ np.array(centres).T, axis=1)
+        centres = [c / np.linalg.norm(c) if (c := unit[group == g].sum(axis=0)).any() else centres[g] for g in range(k)]
+    votes = np.array([(held[group == g] * score[chosen][group == g, None]).sum(axis=0) for g in range(k)])
+    member = np.where(votes.max(axis=0) > 0, votes.argmax(axis=0), -1)
+    order = np.argsort([-(member == g).sum() for g in range(k)], kind="stable")
+    return {name: (member == g).astype(float) for name, g in zip(names, order)}
+
+
 def fit_chain(flat: np.ndarray, owner: np.ndarray, labels: dict[str, np.ndarray], sample: Sample = Sample()) -> Chain:
     """Fit the chain to documents; ``flat`` holds feature numbers and ``owner`` the document of each.
 
@@ -130,12 +170,8 @@ def fit_chain(flat: np.ndarray, owner: np.ndarray, labels: dict[str, np.ndarray]
     last = list(labels)[-1]
     y = labels[last]
     n = len(y)
-    numbers, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
-    hits = np.bincount(inverse, y[owner], len(numbers)) if len(flat) else np.zeros(0)
-    base = y.mean() if n else 0.0
-    # Features that stand out from the base rate, in standard deviations; rare ones are left out.
-    score = np.abs(hits - count * base) / np.sqrt(count * max(base * (1 - base), 1e-9) + 1e-9)
-    score[count < 5] = 0
+    numbers, inverse, score = _standing_out(flat, owner, y)
+    score = np.abs(score)
     chosen = np.argsort(-score, kind="stable")[: sample.features]
     chosen = chosen[score[chosen] > 3]
     place = np.full(len(numbers), -1)
@@ -172,7 +208,7 @@ def _best_limit(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[order[k]] + below) / 2)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), cues: dict[str, frozenset] = CUES, id_col: str = "doc_id", text_col: str = "text") -> Chain:
+def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), groups: tuple[str, ...] = GROUPS, id_col: str = "doc_id", text_col: str = "text") -> Chain:
     """Fit the chain on at most ``sample.toxic`` + ``sample.other`` labelled documents; equal texts count once."""
     rows = labels.where(F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("__id"), "__id"]
@@ -184,10 +220,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), cues: d
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = [sorted(features(t, known)) for t in texts]
-            said = [[bool(words & set(WORDS.findall((t or "").lower()))) for words in cues.values()] for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32())), pa.array(said, pa.list_(pa.bool_()))], ["id", "toxic", "features", "cues"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["id", "toxic", "features"])
 
-    seen = texts.select(F.col("__id").cast("long").alias("id"), "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(read, "id long, toxic int, features array<int>, cues array<boolean>")
+    seen = texts.select(F.col("__id").cast("long").alias("id"), "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(read, "id long, toxic int, features array<int>")
     table = seen.toArrow().sort_by("id").combine_chunks()
     lists = table.column("features").chunk(0) if len(table) else pa.array([], pa.list_(pa.int32()))
     flat, bounds = np.asarray(lists.flatten()), np.asarray(lists.offsets) - (lists.offsets[0].as_py() if len(lists.offsets) else 0)
@@ -201,8 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), cues: d
     owner = np.repeat(place, np.diff(bounds))
     flat, owner = flat[owner >= 0], owner[owner >= 0]
     toxic = label[at]
-    cue = np.array(table.column("cues").to_pylist(), float).reshape(-1, len(cues))[at]
-    chain_labels = {name: toxic * cue[:, k] for k, name in enumerate(cues)} | {"toxic": toxic}
+    chain_labels = toxic_groups(flat, owner, toxic, groups) | {"toxic": toxic}
     return fit_chain(flat, owner, chain_labels, sample)
 
 

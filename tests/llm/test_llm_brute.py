@@ -300,3 +300,19 @@ def test_op6_passages_of_long_items():
     assert _found(_APPLES + " and more words" * 20, "before " + " ".join(apples[4:31]).replace("Ann", "Eve"))
     # changed slots do not make up the number: 13 tokens, one of them another name
     assert not _found(_APPLES + " and more words" * 20, "before " + " ".join(apples[:13]).replace("Ann", "Eve"))
+
+
+@pytest.mark.parametrize("stems", [("vrik", "mulo"), ("zorbak", "quilen")])
+def test_op7_unseen_inflections_of_stems_of_any_length(spark, stems):
+    ends = [a + b for a in "bcdfghjklmnpqrstvwxz" for b in "aeiou"]
+    plain = lambda k: " ".join(f"common{(k * 7 + j) % 40}" for j in range(12))
+    word = lambda k: stems[k % 2] + ends[k % 100] + "tuv"
+    rows = [(k, f"{plain(k)} {word(k)}" if k < 90 else plain(k), int(k < 90)) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    chain = toxicity.train(df, df)
+    unseen = spark.createDataFrame([(k, f"{plain(k)} {word(k) if k < 100 else ''}") for k in range(90, 110)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(unseen, chain).collect()}
+    assert {k for k, r in got.items() if r["toxic"]} == set(range(90, 100))
+    # the groups are found in the rows, one for each stem
+    first = {k for k in range(90, 100) if got[k]["p_insult"] > got[k]["p_contempt"]}
+    assert first in (set(range(90, 100, 2)), set(range(91, 100, 2)))

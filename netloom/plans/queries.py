@@ -546,6 +546,8 @@ def streaming_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from netloom.streaming import jobs
 
     source = adapters.packets(spark, sf_dir)
-    closed = jobs.replay(source, lambda p: flows_stream.stream_flows(p, IDLE))
+    # A packet long after the end moves the watermark past all flows, whatever the delay.
+    last = source.orderBy(F.desc("ts_us")).limit(1).withColumns({"ts_us": F.col("ts_us") + 3_600_000_000, "pkt_seq": F.lit(source.agg(F.max("pkt_seq")).first()[0] + 1).cast("long"), "capture_file": F.lit("end")})
+    closed = jobs.replay(source.unionByName(last), lambda p: flows_stream.stream_flows(p, IDLE))
     end = source.agg(F.max("ts_us").alias("end"))
     return closed.crossJoin(F.broadcast(end)).where("last_us < `end` - 120000000").select("src_ip", "dst_ip", "proto", "first_seq", "total_packets", "fwd_packets", "total_bytes")

@@ -8,24 +8,27 @@ from pyspark.sql import functions as F
 from netloom.llm.common import materialize
 
 
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every end of ``edges`` (columns a, b); a component is named by its smallest id.
 
-    Each round takes the smallest label of the neighbours and then the label
-    of that label, so chains halve.  Labels are written after each round.  All
+    Each round takes the smallest label of the neighbours, for the node and for
+    the node that is its label (the root is hooked), and then the label of that
+    label, so chains shrink by a factor; rounds go on until no label moves.  Labels are written after each round.  All
     aggregations are minima, which shrink before the shuffle, so a node with
     very many edges is no burden.
     """
     both = edges.select("a", "b").where("a <> b")
     both = materialize(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("label")), "labels")
-    for _ in range(rounds):
+    while True:
         near = both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("label").alias("near"))
-        joined = labels.join(near, labels.id == near.a).select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        own = labels.join(near, labels.id == near.a)
+        node = F.struct("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        root = F.struct(F.col("label").alias("id"), F.lit(None).cast(labels.schema["label"].dataType).alias("old"), F.least("label", "near").alias("label"))
+        joined = own.select(F.inline(F.array(node, root))).groupBy("id").agg(F.max("old").alias("old"), F.min("label").alias("label"))
         target = labels.select(F.col("id").alias("via"), F.col("label").alias("beyond"))
         jumped = joined.join(target, joined.label == target.via, "left").select("id", "old", F.least("label", "beyond").alias("label"))
         step = materialize(jumped, "labels")
         labels = step.select("id", "label")
         if step.where("old <> label").isEmpty():
             return labels.select("id", F.col("label").alias("component"))
-    raise RuntimeError("components did not settle")

@@ -316,3 +316,15 @@ def test_op7_unseen_inflections_of_stems_of_any_length(spark, stems):
     # the groups are found in the rows, one for each stem
     first = {k for k in range(90, 100) if got[k]["p_insult"] > got[k]["p_contempt"]}
     assert first in (set(range(90, 100, 2)), set(range(91, 100, 2)))
+
+
+def test_long_chains_of_random_ids_settle(spark, monkeypatch):
+    from netloom.llm import components
+
+    rounds = []
+    monkeypatch.setattr(components, "materialize", lambda df, name: rounds.append(name) or df.localCheckpoint())
+    ids = np.random.default_rng(3).permutation(800).tolist()
+    edges = spark.createDataFrame([*zip(ids, ids[1:]), (900, 901)], "a long, b long")
+    got = {r["id"]: r["component"] for r in components.components(edges).collect()}
+    assert got == {i: 0 for i in ids} | {900: 900, 901: 900}
+    assert len(rounds) <= 20

@@ -62,6 +62,14 @@ def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTE
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of ``frames`` has it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 #: Rows that pass to Python at a time where rows hold whole texts.
 TEXT_ROWS = 2000
 

@@ -2,14 +2,21 @@
 
 A text is the set of its word n-grams.  Texts with equal sets form a class, and
 only one signature a class goes on.  Signatures are cut into bands whose
-number and width follow from the recall wanted at the threshold.  Classes that
-share a band hash with others are candidates; each bucket contributes the
-edges to its smallest member, and the connected components of these edges
-bound what may be similar.  Inside a component every pair of n-gram sets is
-compared in full.  Components of more than ``BLOCK`` classes are dealt into
-blocks of similar set size, so that no task holds a large group: a set of n
-members can only reach the threshold with sets of the next or the same size
-class, and each pair of blocks is a task of its own.
+number and width follow from the recall wanted at the threshold.
+
+1. Classes that share a band hash meet in the task of that bucket, with a sketch
+   of one byte a hash each.  Pairs whose sketches agree far less often than the
+   threshold asks for are no candidates; of the others a task gives a spanning
+   forest, not all pairs.  Bands can therefore not chain texts that are unlike.
+2. The connected components of the forests bound what may be similar.  Inside
+   them every pair of n-gram sets is compared in full.
+
+Neither step holds a large group in one task.  A bucket or component of more
+classes than a task takes is dealt into blocks, and each pair of blocks is a
+task of its own; blocks grow with the group, so copies of its rows grow with
+its root.  In step 2 blocks hold sets of similar size, and a set only meets the
+sets of its own and the next size class, which are all that can reach the
+threshold.
 """
 
 from __future__ import annotations
@@ -21,15 +28,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import bounded_broadcast, materialize, texts_of, worker_cache
+from netloom.llm.common import bounded_broadcast, fresh, materialize, texts_of, worker_cache
 from netloom.llm.components import components
 
 N, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9999, 320
-#: Most classes of a component that is compared in one task.
-BLOCK = 512
+#: Classes of a group that one task takes whole; a larger group is dealt into blocks.
+BLOCK = 128
+#: Most classes in a block, which bounds a task to twice as many.
+LARGEST_BLOCK = 1024
+#: Standard deviations below the threshold at which sketches still make a candidate; 7 lose less than one pair in 10^11.
+SLACK = 7
 
 WORDS = re.compile(r"\w+")
 _MASK = (1 << 64) - 1
@@ -86,7 +97,8 @@ class Shingler:
         g ^= g >> np.uint64(29)
         return np.unique(g)
 
-    def band_hashes(self, grams: np.ndarray) -> np.ndarray:
+    def band_hashes(self, grams: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """The hash of each band, and the low byte of each minimum."""
         x = (grams >> np.uint64(32)).astype(np.uint32)
         low = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
         for k in range(0, len(x), 512):
@@ -94,66 +106,137 @@ class Shingler:
         h = (low.astype(np.uint64).reshape(self.bands, self.rows) + np.uint64(1)) * self.mix
         h = h.sum(axis=1, dtype=np.uint64) ^ self.salt
         h *= np.uint64(0x94D049BB133111EB)
-        return (h ^ (h >> np.uint64(32))).view(np.int64)
+        return (h ^ (h >> np.uint64(32))).view(np.int64), low.astype(np.uint8).tobytes()
 
 
 def signature(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
 
+SIGNATURES = "doc_id long, sig binary, n int, bands array<long>, sketch binary"
+
+
 def signatures(docs: DataFrame, n: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, sig, n, bands of each document; bands are null where the task has given them for the same set before."""
+    """doc_id, sig, n, bands, sketch of each document; the last two are null where the task has given them for the same set before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, given = worker_cache(("shingler", n, bands, rows), lambda: Shingler(n, bands, rows)), set()
         for batch in batches:
-            sigs, sizes, flat, offsets, nulls = [], [], [], [0], []
+            sigs, sizes, flat, offsets, sketches = [], [], [], [0], []
             for text in batch.column(1).to_pylist():
                 grams = shingler.grams(text)
                 sig = signature(grams)
                 fresh = len(grams) > 0 and sig not in given
+                sketch = None
                 if fresh:
                     given.add(sig)
-                    flat.append(shingler.band_hashes(grams))
+                    own, sketch = shingler.band_hashes(grams)
+                    flat.append(own)
                 sigs.append(sig)
                 sizes.append(len(grams))
-                nulls.append(not fresh)
+                sketches.append(sketch)
                 offsets.append(offsets[-1] + bands * fresh)
             values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pa.array(nulls, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), lists], ["doc_id", "sig", "n", "bands"])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pa.array([x is None for x in sketches], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.binary()), pa.array(sizes, pa.int32()), lists, pa.array(sketches, pa.binary())], ["doc_id", "sig", "n", "bands", "sketch"])
+
+    return texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null").mapInArrow(run, SIGNATURES)
+
+
+def _block_count(members: Column, block: int) -> Column:
+    """Blocks of a group too large for one task: 16 to a group until they are full."""
+    size = F.least(F.lit(LARGEST_BLOCK), F.greatest(F.lit(max(1, block // 2)), F.ceil(members / 16)))
+    return F.ceil(members / size).cast("int")
+
+
+def _upto(count: Column) -> Column:
+    return F.when(F.coalesce(count, F.lit(0)) > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def candidates(classes: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(a, b) edges (class numbers) of a spanning forest of the classes that share a band and whose sketches agree nearly as the threshold asks."""
+    bands = classes.select("num", F.explode("bands").alias("band"))
+    shared = materialize(bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
+    blocks = F.when(F.col("members") <= block, F.lit(1)).otherwise(_block_count(F.col("members"), block))
+    held = bands.join(shared.select("band", blocks.alias("blocks")), "band").groupBy("num").agg(F.collect_list(F.struct("band", "blocks")).alias("buckets"))  # at most one a band
+    k = F.pmod(F.xxhash64("num", "bucket.band"), F.col("bucket.blocks")).cast("int")
+    dealt = classes.select("num", "sketch").join(held, "num").select("num", "sketch", F.explode("buckets").alias("bucket")).withColumn("k", k)
+    dealt = dealt.select("num", "sketch", F.col("bucket.band").alias("band"), "k", F.explode(_upto(F.col("bucket.blocks"))).alias("x"))
+    key = F.xxhash64("band", F.least("k", "x"), F.greatest("k", "x"))
+    rows = dealt.select(key.alias("key"), "band", F.least("k", "x").alias("i"), F.greatest("k", "x").alias("j"), "num", "sketch")
+    return rows.repartition("key").sortWithinPartitions("key", "band", "i", "j").mapInArrow(_forests(threshold), "a long, b long").distinct()
+
+
+def least_agreement(threshold: float, hashes: int) -> int:
+    """The number of equal sketch bytes that pairs at the threshold reach but for ``SLACK`` standard deviations."""
+    return math.ceil(hashes * threshold - SLACK * math.sqrt(hashes * threshold * (1 - threshold)))
 
-    return texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null").mapInArrow(run, "doc_id long, sig binary, n int, bands array<long>")
+
+def forest(ids: np.ndarray, sketches: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the graph of sketches (rows) that agree in ``least`` places."""
+    left, edges = np.arange(len(ids)), []
+    while len(left):
+        reached, left = [left[0]], left[1:]
+        while reached and len(left):
+            at = reached.pop()
+            near = (sketches[left] == sketches[at]).sum(axis=1) >= least
+            found = left[near]
+            edges += [(int(ids[x]), int(ids[at])) for x in found.tolist() if ids[x] != ids[at]]
+            reached += found.tolist()
+            left = left[~near]
+    return edges
+
+
+def _forests(threshold: float):
+    def run(batches):
+        group, rows = None, {}
+
+        def done() -> list[tuple[int, int]]:
+            if len(rows) < 2:
+                return []
+            sketches = np.frombuffer(b"".join(rows.values()), np.uint8).reshape(len(rows), -1)
+            return forest(np.array(list(rows)), sketches, least_agreement(threshold, sketches.shape[1]))
+
+        for batch in batches:
+            edges = []
+            for band, i, j, own, sketch in zip(*(batch.column(c).to_pylist() for c in ("band", "i", "j", "num", "sketch"))):
+                if (band, i, j) != group:
+                    edges += done()
+                    group, rows = (band, i, j), {}
+                rows[own] = sketch
+            yield _pairs(edges)
+        yield _pairs(done())
+
+    def _pairs(edges):
+        return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
 
 
 def _tasks(members: DataFrame, threshold: float, block: int) -> DataFrame:
-    """id, sig, tasks: where each member is compared, as (key, side); side 0 with all others, 1 and 2 with each other."""
+    """id, sig, key, side: where each member is compared; side 0 with all others, 1 and 2 with each other."""
     size = members.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     sized = members.join(size, "component").withColumn("band", F.floor(F.ln("n") / math.log(1 / threshold)).cast("int"))
-    small = sized.where(F.col("members") <= block).select("id", "sig", F.array(F.struct(F.col("component").cast("string").alias("key"), F.lit(0).alias("side"))).alias("tasks"))
+    small = sized.where(F.col("members") <= block).select("id", "sig", F.col("component").cast("string").alias("key"), F.lit(0).alias("side"))
     large = sized.where(F.col("members") > block)
-    blocks = materialize(large.groupBy("component", "band").agg(F.ceil(F.count(F.lit(1)) / (block // 2)).cast("int").alias("blocks")), "blocks")
-    near = lambda by, name: bounded_broadcast(blocks.select("component", (F.col("band") - by).alias("band"), F.col("blocks").alias(name)), 64)
+    blocks = materialize(large.groupBy("component", "band").agg(_block_count(F.count(F.lit(1)), block).alias("blocks")), "blocks")
+    near = lambda by, name: blocks.select("component", (F.col("band") - by).alias("band"), F.col("blocks").alias(name))
     with_blocks = large.join(near(0, "own"), ["component", "band"]).join(near(1, "above"), ["component", "band"], "left").join(near(-1, "below"), ["component", "band"], "left")
     with_blocks = with_blocks.withColumn("k", F.pmod(F.xxhash64("id", "sig"), F.col("own")).cast("int"))
-    upto = lambda c: F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
     key = lambda lower, i, upper, j: F.concat_ws(":", "component", lower, i, upper, j)
     band, k = F.col("band"), F.col("k")
-    same = F.transform(upto("own"), lambda x: F.struct(key(band, F.least(k, x), band, F.greatest(k, x)).alias("key"), F.when(k == x, 0).when(k < x, 1).otherwise(2).alias("side")))
-    up = F.transform(upto("above"), lambda x: F.struct(key(band, k, band + 1, x).alias("key"), F.lit(1).alias("side")))
-    down = F.transform(upto("below"), lambda x: F.struct(key(band - 1, x, band, k).alias("key"), F.lit(2).alias("side")))
-    return small.unionByName(with_blocks.select("id", "sig", F.concat(same, up, down).alias("tasks")))
+    same = F.transform(_upto(F.col("own")), lambda x: F.struct(key(band, F.least(k, x), band, F.greatest(k, x)).alias("key"), F.when(k == x, 0).when(k < x, 1).otherwise(2).alias("side")))
+    up = F.transform(_upto(F.col("above")), lambda x: F.struct(key(band, k, band + 1, x).alias("key"), F.lit(1).alias("side")))
+    down = F.transform(_upto(F.col("below")), lambda x: F.struct(key(band - 1, x, band, k).alias("key"), F.lit(2).alias("side")))
+    return small.unionByName(with_blocks.select("id", "sig", F.inline(F.concat(same, up, down))))
 
 
 def _sets(n: int):
     def run(batches):
         shingler = worker_cache(("shingler", n, 1, 1), lambda: Shingler(n))
         for batch in batches:
-            rows = []
-            for at, (sig, text) in enumerate(zip(batch.column("sig").to_pylist(), batch.column("text").to_pylist())):
-                grams = shingler.grams(text)
-                rows.append(grams.tobytes() if signature(grams) == sig else None)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.binary()), batch.column("tasks")], ["id", "grams", "tasks"])
+            grams = [shingler.grams(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(signature, grams), pa.binary()), pa.array([g.tobytes() for g in grams], pa.binary())], ["id", "sig", "grams"])
 
     return run
 
@@ -232,25 +315,19 @@ class JaccardJoin:
         self.docs, self.n, self.threshold, self.block, self.id_col, self.text_col = docs, n, threshold, block, id_col, text_col
         self.bands, self.rows = choose_bands(threshold, recall, hashes)
         self.signed = materialize(signatures(docs, n, self.bands, self.rows, id_col, text_col), "signatures")
-        classes = self.signed.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands", ignorenulls=True).alias("bands"))
-        self.classes = materialize(classes, "classes")
-        self.members = self._members()
-
-    def _members(self) -> DataFrame:
-        """id, sig, n, component of the classes that share a band with others."""
-        rows = self.classes.select("id", F.explode("bands").alias("band"))
-        buckets = rows.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("most")).where("hub < most").select("band", "hub")
-        buckets = bounded_broadcast(materialize(buckets, "buckets"), 24, 16 << 20)
-        edges = rows.join(buckets, "band").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-        return materialize(self.classes.select("id", "sig", "n").join(components(edges), "id"), "members")
+        classes = self.signed.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands", ignorenulls=True).alias("bands"), F.first("sketch", ignorenulls=True).alias("sketch"))
+        self.classes = materialize(classes.withColumn("num", F.monotonically_increasing_id()), "classes")
+        groups = components(candidates(self.classes, threshold, block)).withColumnRenamed("id", "num")
+        self.members = materialize(self.classes.select("num", "id", "sig", "n").join(groups, "num").drop("num"), "members")
 
     def _compared(self, as_pairs: bool) -> DataFrame:
         tasks = materialize(_tasks(self.members, self.threshold, self.block), "tasks")
+        ids = self.members.select("id").distinct()
         texts = self.docs.select(F.col(self.id_col).cast("long").alias("id"), F.col(self.text_col).alias("text"))
-        sets = texts.join(bounded_broadcast(tasks, 200), "id").select("id", "sig", "text", "tasks")
-        sets = sets.mapInArrow(_sets(self.n), "id long, grams binary, tasks array<struct<key: string, side: int>>").where("grams is not null")
-        dealt = sets.select("id", "grams", F.explode("tasks").alias("t")).select("t.key", "t.side", "id", "grams")
-        return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(_verified(self.threshold, as_pairs), "a long, b long, value double")
+        sets = materialize(texts.join(bounded_broadcast(ids, 48), "id", "left_semi").mapInArrow(_sets(self.n), "id long, sig binary, grams binary"), "sets")
+        dealt = tasks.join(sets, ["id", "sig"]).select("key", "side", "id", "grams")
+        # Ranges of keys hold about the same number of rows each, whatever the sizes of the groups.
+        return dealt.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(_verified(self.threshold, as_pairs), "a long, b long, value double")
 
     def pairs(self) -> DataFrame:
         """id_a, id_b, similarity of all linked classes; their number can grow with the square of a group."""
@@ -286,8 +363,9 @@ def similar_documents(docs: DataFrame, **options) -> DataFrame:
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without those that have a smaller doc_id in their class; rows with a null id stay."""
     found = similar_documents(docs, id_col=id_col, text_col=text_col, **options)
-    gone = materialize(found.where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct(), "similar-gone")
-    return docs.join(bounded_broadcast(gone, 24), docs[id_col] == F.col("__gone"), "left_anti")
+    name = fresh("gone", docs)
+    gone = materialize(found.where("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct(), "similar-gone")
+    return docs.join(bounded_broadcast(gone, 24), docs[id_col] == F.col(name), "left_anti")
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,18 +161,13 @@ def test_op6(spark, docs):
     ("many people have apples and some of them give apples to friends; how many are left?", False),
 ])
 def test_op6_other_slots(text, found):
-    t = decontamination.Templater()
-    table = decontamination.BenchmarkTable([(1, "Alice has 5 apples and gives 3 kg of apples to Bob. How many apples does Alice keep?")])
-    table.build(t)
-    assert bool(list(table.matches(t, text, 0.5))) is found
+    assert bool(_found("Alice has 5 apples and gives 3 kg of apples to Bob. How many apples does Alice keep?", text, 0.5)) is found
 
 
 def test_op6_inconsistent_slots_do_not_count():
-    t = decontamination.Templater()
-    table = decontamination.BenchmarkTable([(1, "we saw Ann and Ann met them near Ann in the old town with Ann again")])
-    table.build(t)
-    assert list(table.matches(t, "we saw Eve and Eve met them near Eve in the old town with Eve again", 0.6))
-    assert not list(table.matches(t, "we saw Eve and Joe met them near Kim in the old town with Sue again", 0.6))
+    item = "we saw Ann and Ann met them near Ann in the old town with Ann again"
+    assert _found(item, "we saw Eve and Eve met them near Eve in the old town with Eve again", 0.6)
+    assert not _found(item, "we saw Eve and Joe met them near Kim in the old town with Sue again", 0.6)
 
 
 def test_op7_accuracy(spark):
@@ -253,10 +248,22 @@ def test_pipeline(spark, docs):
 
 
 def _found(item, text, min_cover=decontamination.MIN_COVER):
-    t = decontamination.Templater()
-    table = decontamination.BenchmarkTable([(1, item)])
-    table.build(t)
-    return list(table.matches(t, text, min_cover))
+    """The join of one item and one text in plain Python."""
+    d, t = decontamination, decontamination.Templater()
+    held = {}
+    for reading, width, h, *_, length, item_pos, spans, slots, slot_spans in d.item_windows(t, 0, 1, item, d.MIN_PLAIN, d.MIN_PASSAGE):
+        if reading != d.PASSAGE:
+            held[reading, width, h] = (item_pos, spans, slots, slot_spans)
+    total = len({x for _, spans, *_ in held.values() for a, b in zip(spans[::2], spans[1::2]) for x in range(a, b)})
+    everything = d.Filter(np.full(1 << 16, 255, np.uint8), 45, sorted({k[:2] for k in held}))
+    hits = []
+    for reading, width, hashes, *columns, values, count in d.document_windows(t, text, everything):
+        ends = np.cumsum(count)
+        for h, pos, start, stop, end, n in zip(hashes.view(np.int64).tolist(), *(c.tolist() for c in columns), ends.tolist(), count.tolist()):
+            if (reading, width, h) in held:
+                hits.append(d.Hit(reading, width, pos, start, stop, values[end - n : end].view(np.int64).tolist(), *held[reading, width, h]))
+    found = d.judge(hits, length, total, min_cover, d.MIN_PASSAGE)
+    return [(1, *found)] if found else []
 
 
 _APPLES = "when the market in the village opens early Ann takes 3 baskets of ripe red apples from her old garden and then walks along the river until she meets her friend and sells half of them for 2 coins each"
@@ -328,3 +335,53 @@ def test_long_chains_of_random_ids_settle(spark, monkeypatch):
     got = {r["id"]: r["component"] for r in components.components(edges).collect()}
     assert got == {i: 0 for i in ids} | {900: 900, 901: 900}
     assert len(rounds) <= 20
+
+
+def test_op6_reparameterised_items_of_the_table(spark):
+    """Every item with each number and each name replaced, consistently, is found for itself or an item of the same template."""
+    items = dict(duckdb.sql(f"select item_id, text from '{DATA}/benchmark.parquet'").fetchall())
+    seen: dict[str, str] = {}
+
+    def other(m):
+        word = m[0]
+        return seen.setdefault(word, str(7 * len(seen) + 11) if word[0].isdigit() else "Q" + "abcdefghijklmnopqrstuvwxyz"[len(seen) % 26] + "abcdefghij"[len(seen) // 26 % 10] + "o")
+
+    docs = {i: "first some words. " + re.sub(r"(?<=[a-z,] )[A-Z][a-z]+|\d+", other, t) + " and then more" for i, t in items.items()}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    found = {}
+    for r in decontamination.contaminated(df, bench).collect():
+        found.setdefault(r["doc_id"], set()).add(r["item_id"])
+    templates = {i: re.sub(r"(?<=[a-z,] )[A-Z][a-z]+|\d+", "_", t) for i, t in items.items()}
+    assert all(any(templates[j] == templates[i] for j in found[i]) for i in items)
+    assert decontamination.drop_contaminated(df, bench).count() == 0
+
+
+def _numbered(word, k):
+    return word + "abcdefghij"[k % 10] + "klmnopqrst"[k // 10 % 10] + "uvwxyzabcd"[k // 100 % 10] + "efghijklmn"[k // 1000 % 10]
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_op6_shared_preambles_and_classes(spark, monkeypatch, limit):
+    """``limit`` 0: the table is joined by a shuffle."""
+    if limit is not None:
+        from netloom.llm import common
+
+        monkeypatch.setattr(decontamination, "bounded_broadcast", lambda df, row_bytes: common.bounded_broadcast(df, row_bytes, limit))
+    preamble = " ".join(_numbered("pre", k) for k in range(280))
+    own = [preamble + " " + " ".join(_numbered("item", 20 * i + k) for k in range(20)) for i in range(60)]
+    same = [f"the clerk in the old shop sold {3 * i + 2} jars to Bob before noon and asked for {i + 900} coins" for i in range(40)]
+    bench = spark.createDataFrame(list(enumerate(own + same)), "item_id long, text string")
+    docs = [(0, preamble), (1, "before " + own[7] + " after"), (2, "then the clerk in the old shop sold 77 jars to Joe before noon and asked for 5 coins"), (3, "now " + same[30])]
+    got = {(r["doc_id"], r["item_id"]): r["changed_slots"] for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert set(got) == {(1, 7), (2, 60), (3, 60), (3, 90)}
+    assert got[2, 60] == 3 and got[3, 60] == 2 and got[3, 90] == 0
+
+
+def test_op6_repetitive_texts_are_quick():
+    from time import process_time
+
+    began = process_time()
+    assert _found(" ".join(["again"] * 100), " ".join(["again"] * 8000))[0][1] == 1
+    assert _found("ho ha " * 50 + "he", "ho ha " * 4000)
+    assert process_time() - began < 2  # both together, with all 16,000 hits in plain Python

@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-The distinct segments of a batch are joined into one byte string.  Its suffix
-array, sorted as far as the longest piece reaches, is searched for every piece
-of the vocabulary; the ranges give all occurrences, which are the edges of a
-lattice.  Edges are sorted by the position where they end and relaxed.
+The texts of a batch are joined into byte strings, in which segments that repeat
+stand once.  Their suffix array, sorted as far as the longest piece reaches, is
+searched for every piece of the vocabulary; the ranges give all occurrences,
+which are the edges of a lattice.  Edges are sorted by the position where they
+end and relaxed.  Nothing is kept from one batch to the next.
 
 The public model is a byte-pair model: its segmentation is fixed by merge
 order, not by a sum of scores.  The relaxation is therefore exact in another
@@ -11,6 +12,13 @@ sense than a shortest path: the last piece of the segmentation of each prefix
 is unique, and an edge is that piece exactly if the piece that ends where it
 starts may stand before it, which merge ranks decide.  Unigram models, whose
 edges compete by score, are relaxed as a best path.
+
+The same rule serves long segments (text without spaces).  They are cut into
+windows that overlap, all windows are relaxed at once, and two neighbours are
+joined at a position where both have a border and the two pieces around it may
+stand side by side: a row of pieces of which all neighbours may do so is the
+segmentation.  Only where two windows share no such border (some periodic
+texts) the segment is relaxed edge by edge.
 """
 
 from __future__ import annotations
@@ -18,6 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from hashlib import sha256
 
 import numpy as np
@@ -25,16 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import local_files, texts_of, worker_cache
+from netloom.llm.common import local_files, texts_of
 from netloom.llm.words import SegmentTable
 
 SPACE = "▁"
 #: Stand-ins that no UTF-8 text has: the piece space, and the border of two segments.
 SPACE_BYTE, BORDER = 0xFE, 0xFF
-#: Bytes of distinct segments in one suffix array.
-ARRAY_BYTES = 120_000
-#: Longer segments are relaxed one by one.
-LEVELS = 96
+#: Characters of text that are matched together, and bytes of distinct segments in one suffix array.
+BATCH_CHARS, ARRAY_BYTES = 4_000_000, 300_000
+#: Bytes between the windows of a long segment; a power of two fits runs of one sign, whose pieces have such lengths.
+STEP = 64
+#: The longest window: two steps, and what leads to the start of a character.
+LEVELS = 2 * STEP + 3
 NEVER = 1 << 40
 
 
@@ -115,6 +126,25 @@ class Pieces:
         return ok
 
 
+    @cached_property
+    def _pairs(self) -> dict[int, int]:
+        return dict(zip(self.pair_key.tolist(), self.pair_rank.tolist()))
+
+    def follows_one(self, a: int, b: int) -> bool:
+        """:meth:`follows` for one pair."""
+        limit = NEVER
+        while True:
+            if self._pairs.get(a * len(self.text) + b, NEVER) < limit:
+                return False
+            ra, rb = self.rank[a], self.rank[b]
+            if ra < 0 and rb < 0:
+                return True
+            if ra > rb:
+                limit, a = ra, int(self.right[a])
+            else:
+                limit, b = rb + 1, int(self.left[b])
+
+
 def read_model(path: str) -> Pieces:
     """The vocabulary of a SentencePiece model file."""
     import sentencepiece
@@ -196,12 +226,41 @@ def occurrences(data: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarra
 
 def encode_segments(segments: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of all segments, and the number of ids of each."""
+    coded = [_coded(s.replace(" ", SPACE)) for s in segments]
+    long = [k for k, c in enumerate(coded) if len(c) > LEVELS] if pieces.bpe else []
+    if not long:
+        return _encode_units(coded, pieces)
+    ids, count = _encode_units([b"" if len(c) > LEVELS else c for c in coded], pieces)
+    own, n = _encode_windows([coded[k] for k in long], [STEP] * len(long), pieces)
+    start = np.cumsum(count) - count
+    count[long], start[long] = n, len(ids) + np.cumsum(n) - n
+    return _picked(np.concatenate([ids, own]), start, count), count
+
+
+def _picked(flat: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` from ``start`` on, one after the other."""
+    end = np.cumsum(count)
+    return flat[np.arange(end[-1] if len(end) else 0) + np.repeat(start - (end - count), count)]
+
+
+def _window_starts(coded: bytes, first: int) -> list[int]:
+    """Where the windows of a long segment start: at ``first`` and about every ``STEP`` bytes from there, at a character."""
+    starts, at = [0], first
+    while starts[-1] + 2 * STEP < len(coded):
+        while coded[at] & 0xC0 == 0x80:
+            at -= 1
+        starts.append(at)
+        at += STEP
+    return starts
+
+
+def _encode_units(units: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids and numbers of ids, in arrays of bounded size."""
     ids, counts, part, size = [], [], [], 0
-    for k, s in enumerate(segments):
-        coded = _coded(s.replace(" ", SPACE))
+    for k, coded in enumerate(units):
         part.append(coded)
         size += len(coded) + 1
-        if size >= ARRAY_BYTES or k + 1 == len(segments):
+        if size >= ARRAY_BYTES or k + 1 == len(units):
             a, b = _encode_array(part, pieces)
             ids.append(a)
             counts.append(b)
@@ -209,6 +268,53 @@ def encode_segments(segments: list[str], pieces: Pieces) -> tuple[np.ndarray, np
     return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def _encode_windows(coded: list[bytes], first: list[int], pieces: Pieces, again: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids of long segments from those of their windows, and the number of ids of each.
+
+    A segment whose windows do not fit is tried once more with the second window at
+    a border of the first (runs of one sign then fit), and else relaxed by itself.
+    """
+    units, owner, start = [], [], []
+    for k, c in enumerate(coded):
+        places = _window_starts(c, first[k])
+        units += [c[a:b] for a, b in zip(places, [*places[2:], len(c), len(c)])]
+        owner += [k] * len(places)
+        start += places
+    owner, start = np.array(owner), np.array(start)
+    ids, counts = _encode_units(units, pieces)
+    unit = np.repeat(np.arange(len(owner)), counts)
+    length = pieces.length[ids]
+    end = np.cumsum(length)
+    end += np.repeat(start - np.concatenate([[0], end])[np.cumsum(counts) - counts], counts)
+    begin = end - length
+    has_before = np.concatenate([[False], owner[1:] == owner[:-1]])
+    has_next = np.concatenate([has_before[1:], [False]])
+    # Borders that two neighbours share, keyed by the second of them.
+    wide = max(map(len, coded)) + 1
+    left, right = np.flatnonzero(has_next[unit]), np.flatnonzero(has_before[unit] & (begin > start[unit]))
+    _, i, j = np.intersect1d((unit[left] + 1) * wide + end[left], unit[right] * wide + begin[right], return_indices=True)
+    i, j = left[i], right[j]
+    ok = pieces.follows(ids[i], ids[j])
+    border = np.full(len(owner), NEVER)
+    np.minimum.at(border, unit[j[ok]], begin[j[ok]])
+    low = np.where(has_before, border, start)
+    high = np.where(has_next, np.append(border[1:], 0), NEVER)
+    keep = (begin >= low[unit]) & (end <= high[unit])
+    count = np.bincount(owner[unit[keep]], minlength=len(coded))
+    flat, at = ids[keep], np.cumsum(count) - count
+    alone = np.unique(owner[has_before & (border == NEVER)]).tolist()
+    if alone and again:
+        heads = [end[(unit == np.searchsorted(owner, k)) & (end <= STEP)].max(initial=STEP // 2) for k in alone]
+        own, n = _encode_windows([coded[k] for k in alone], heads, pieces, again=False)
+    elif alone:
+        several = [_encode_array([coded[k]], pieces) for k in alone]
+        own, n = np.concatenate([x for x, _ in several]), np.concatenate([n for _, n in several])
+    if alone:
+        count[alone], at[alone] = n, len(flat) + np.cumsum(n) - n
+        flat = _picked(np.concatenate([flat, own]), at, count)
+    return flat, count
+
+
 def _encode_array(coded: list[bytes], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     border = bytes([BORDER])
     data = np.frombuffer(border.join(coded) + border, np.uint8)
@@ -263,20 +369,16 @@ def _relax_levels(pieces, piece, start, end, level, begin, last, best) -> None:
 
 
 def _relax_single(pieces, piece, start, end, begin, last, best) -> None:
-    """Edges of long segments in order of their ends; what may follow what is remembered."""
-    known: dict[tuple[int, int], bool] = {}
-    for e in np.lexsort((start, end)).tolist():
-        s, p, t = int(start[e]), int(piece[e]), int(end[e])
-        opens = s == begin[e]
-        if not opens and last[s] < 0:
+    """Edges of long segments in order of their ends."""
+    order = np.lexsort((start, end))
+    opens = (start == begin)[order].tolist()
+    for s, p, t, first in zip(start[order].tolist(), piece[order].tolist(), end[order].tolist(), opens):
+        if not first and last[s] < 0:
             continue
         if pieces.bpe:
-            pair = (int(last[s]), p)
-            if not opens and pair not in known:
-                known[pair] = bool(pieces.follows(np.array([pair[0]]), np.array([p]))[0])
-            if opens or known[pair]:
+            if first or pieces.follows_one(int(last[s]), p):
                 last[t] = p
-        elif (total := (0.0 if opens else best[s]) + pieces.score[p]) > best[t]:
+        elif (total := (0.0 if first else best[s]) + pieces.score[p]) > best[t]:
             best[t], last[t] = total, p
 
 
@@ -304,8 +406,8 @@ def decode(ids, pieces: Pieces) -> str:
 
 
 def encoder(pieces: Pieces) -> SegmentTable:
-    """The segment table of a vocabulary; a worker keeps it from task to task."""
-    return worker_cache(("sentencepiece", pieces.key), lambda: SegmentTable(split_segments, lambda s: encode_segments(s, pieces)))
+    """Encodes blocks of texts with a vocabulary; each block by itself."""
+    return SegmentTable(split_segments, lambda s: encode_segments(s, pieces), limit=0, block_chars=BATCH_CHARS)
 
 
 def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,8 +13,8 @@ from itertools import chain
 
 import numpy as np
 
-#: Segments held before a table starts anew; this bounds a worker's memory.
-TABLE_SEGMENTS = 400_000
+#: Segments, and characters of them, held before a table starts anew; this bounds a worker's memory.
+TABLE_SEGMENTS, TABLE_CHARS = 400_000, 16_000_000
 #: Characters of text put together at a time.
 BLOCK_CHARS = 1_000_000
 
@@ -51,23 +51,27 @@ class IdLists:
 class _Numbers(dict):
     def __init__(self, new: list[str]):
         super().__init__()
-        self.new = new
+        self.new, self.chars = new, 0
 
     def __missing__(self, string: str) -> int:
         number = self[string] = len(self)
         self.new.append(string)
+        self.chars += len(string)
         return number
 
 
 class SegmentTable:
-    """ids of texts from ``split`` (text to segments) and ``encode`` (segments to flat ids and lengths)."""
+    """ids of texts from ``split`` (text to segments) and ``encode`` (segments to flat ids and lengths).
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = TABLE_SEGMENTS):
-        self.split, self.encode, self.limit, self.lists = split, encode, limit, IdLists()
+    With ``limit`` 0 nothing is held from one block of texts to the next.
+    """
+
+    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = TABLE_SEGMENTS, block_chars: int = BLOCK_CHARS):
+        self.split, self.encode, self.limit, self.block_chars, self.lists = split, encode, limit, block_chars, IdLists()
 
     def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         split = [self.split(t) for t in texts]
-        if len(self.lists.at) > self.limit:
+        if len(self.lists.at) > self.limit or self.lists.at.chars > TABLE_CHARS:
             self.lists = IdLists()
         which = self.lists.numbers(split)
         if self.lists.new:
@@ -81,6 +85,6 @@ class SegmentTable:
         first, chars = 0, 0
         for k, t in enumerate(texts):
             chars += len(t or "") + 1
-            if chars >= BLOCK_CHARS or k + 1 == len(texts):
+            if chars >= self.block_chars or k + 1 == len(texts):
                 yield first, *self._block([t or "" for t in texts[first : k + 1]])
                 first, chars = k + 1, 0

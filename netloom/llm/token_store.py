@@ -5,7 +5,7 @@ where its value ends in zero bits, so equal passages give equal chunks.  The
 store has three tables in one folder:
 
 ``chunks``    digest, n, payload: each distinct chunk once, ids as little-endian
-              unsigned integers of the smallest of 2 or 4 bytes that fits
+              unsigned integers of 2 bytes, or 4 if the vocabulary needs them
 ``recipes``   in ascending doc_id order: doc_id, local_start, n_tokens, digests,
               root (Merkle root of the chunk digests), part
 ``manifest``  per part: first id position, ids, documents, and a sum over its
@@ -13,6 +13,11 @@ store has three tables in one folder:
 
 Reading checks every chunk against its digest, every document against its
 root, and every part against the manifest.
+
+The tokenizers library encodes.  Where the tokenizer file says what ``_cuts``
+asks for, whole texts are cut by the file's own pattern and each distinct part is
+encoded once, as no token crosses the border of two parts; with any other file
+whole texts go to the library as they are.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netloom.llm.common import drop_scratch, local_files, scratch, texts_of, worker_cache
-from netloom.llm.words import SegmentTable
+from netloom.llm.words import BLOCK_CHARS, SegmentTable
 
 WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 16, 64, 9, 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -50,6 +55,21 @@ LATIN = re.compile("[\x00-\xff]*")
 PARTS = 1_000_000
 
 
+#: What a tokenizer file says if the two patterns above are right for it.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+TO_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "byte_fallback": False, "ignore_merges": False}
+
+
+def _cuts(spec: dict) -> bool:
+    """Whether texts may be cut into parts: the file's normaliser, pattern and model are the known ones, and each added token begins with ``<|``."""
+    return (
+        spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [SPLIT, TO_BYTES]} and not spec["post_processor"] and not spec["truncation"] and not spec["padding"]
+        and all(spec["model"].get(k) == v for k, v in MODEL.items()) and all(t["content"].startswith("<|") and not t["lstrip"] and not t["rstrip"] and not t["single_word"] for t in spec["added_tokens"])
+    )
+
+
 def split_parts(text: str) -> list[str]:
     """Segments of a text whose ids, one after the other, are the text's.
 
@@ -98,9 +118,36 @@ class _Tokenizer:
         return np.fromiter(chain.from_iterable(lists), np.int64, int(length.sum())), length
 
 
-def _tokenizer_table(spec: str) -> SegmentTable:
+class WholeTexts:
+    """ids of whole texts from the library, block by block."""
+
+    def __init__(self, spec: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(spec)
+
+    def blocks(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        first, chars = 0, 0
+        for k, t in enumerate(texts):
+            chars += len(t or "") + 1
+            if chars >= BLOCK_CHARS or k + 1 == len(texts):
+                lists = [e.ids for e in self.tokenizer.encode_batch_fast([t or "" for t in texts[first : k + 1]], add_special_tokens=False)]
+                length = np.array([len(x) for x in lists], np.int64)
+                yield first, np.fromiter(chain.from_iterable(lists), np.int64, int(length.sum())), np.concatenate([[0], np.cumsum(length)])
+                first, chars = k + 1, 0
+
+
+def _tokenizer_table(spec: str) -> SegmentTable | WholeTexts:
     """A worker keeps its table from task to task."""
-    return worker_cache(("tokenizer", hash(spec)), lambda: SegmentTable(split_parts, _Tokenizer(spec).encode, PARTS))
+    return worker_cache(("tokenizer", hash(spec)), lambda: SegmentTable(split_parts, _Tokenizer(spec).encode, PARTS) if _cuts(json.loads(spec)) else WholeTexts(spec))
+
+
+def _id_type(spec: str, end_id: int) -> str:
+    """The type of stored ids, one for the whole store, so that equal chunks have equal bytes."""
+    from tokenizers import Tokenizer
+
+    most = max(Tokenizer.from_str(spec).get_vocab(with_added_tokens=True).values())
+    return "<u2" if max(most, end_id) < 1 << 16 else "<u4"
 
 
 def rolling_hash(ids: np.ndarray) -> np.ndarray:
@@ -156,6 +203,7 @@ CHUNK = "struct<digest: binary, n: int, payload: binary>"
 def chunked(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, row, n_tokens, root, chunks of each document; a payload is null where its task has given it before."""
     spec = Path(tokenizer_json).read_text(encoding="utf-8")
+    kind = _id_type(spec, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _tokenizer_table(spec)
@@ -169,16 +217,15 @@ def chunked(docs: DataFrame, tokenizer_json: str, end_id: int, id_col: str, text
                 at = np.ones(len(stream), bool)
                 at[ends[1:] - 1] = False
                 stream[at] = ids
-                yield _chunk_rows(batch, first, stream, ends, given)
+                yield _chunk_rows(batch, first, stream.astype(kind), ends, given)
 
     rows = texts_of(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id long, row long, n_tokens long, root binary, chunks array<{CHUNK}>")
 
 
-def _chunk_rows(batch, first, stream, ends, given) -> pa.RecordBatch:
-    stored = stream.astype("<u2" if stream.max(initial=0) < 1 << 16 else "<u4")
+def _chunk_rows(batch, first, stored, ends, given) -> pa.RecordBatch:
     digests, sizes, payloads, offsets, roots = [], [], [], [0], []
-    for start, cuts in zip(ends[:-1].tolist(), cut_points(stream, ends)):
+    for start, cuts in zip(ends[:-1].tolist(), cut_points(stored, ends)):
         own = []
         for a, b in zip([start, *cuts], cuts):
             raw = bytes([stored.itemsize]) + stored[a:b].tobytes()

@@ -209,11 +209,15 @@ def _best_limit(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), groups: tuple[str, ...] = GROUPS, id_col: str = "doc_id", text_col: str = "text") -> Chain:
-    """Fit the chain on at most ``sample.toxic`` + ``sample.other`` labelled documents; equal texts count once."""
+    """Fit the chain on at most ``sample.toxic`` + ``sample.other`` labelled documents.
+
+    Equal texts count once; of rows that share a doc_id the smallest text counts.
+    """
     rows = labels.where(F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("__id"), "__id"]
     chosen = rows.where("toxic = 1").orderBy(*order).limit(sample.toxic).unionByName(rows.where("toxic <> 1").orderBy(*order).limit(sample.other))
-    texts = texts_of(docs).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id").select("__id", "text", "toxic")
+    texts = texts_of(docs).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id")
+    texts = texts.groupBy("__id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
     def read(batches):
         known = _Features()

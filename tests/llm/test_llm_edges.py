@@ -10,7 +10,7 @@ from netloom.llm import chat_format, decontamination, exact_dedup, importance, n
 LONG = "word " * 30_000 + "end"
 ROWS = [(1, "a b c d e f g", "x"), (2, None, None), (3, "", "x"), (4, LONG, "y"), (5, "a  b\tc d e f g", "x"), (5, "a  b\tc d e f g", "x"), (None, "lonely text of five words", "z"), (7, "ünï ▁ 😀", "z"), (8, "   ", "z")]
 #: Extra columns whose names the operators also use inside.
-CLASH = "size slot shard digest keep doc row text_crc32 kept norm ids bands sig n key chosen good label component tasks features scope __x".split()
+CLASH = "__key __doc __gone __old __block __start __file __new _old _block _file gone key_ d0 d1 size slot shard digest keep doc row text_crc32 kept norm ids bands sig n key chosen good label component tasks features scope __x".split()
 
 
 @pytest.fixture(scope="module")
@@ -68,7 +68,9 @@ def test_op4(docs, empty):
     kept = exact_dedup.drop_duplicates(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 4, 7, 8]
     assert exact_dedup.exact_duplicates(empty).count() == 0 and exact_dedup.drop_duplicates(empty).count() == 0
-    assert exact_dedup.DedupIndex(docs).find("a b c d  e f g").count() == 3
+    index = exact_dedup.DedupIndex(docs.sparkSession)
+    index.insert(docs)
+    assert index.find("a b c d  e f g").count() == 3
 
 
 def test_op4_repeated_rows_and_both_joins(docs):
@@ -78,6 +80,21 @@ def test_op4_repeated_rows_and_both_joins(docs):
     assert exact_dedup.drop_duplicates(twice).count() == 6
 
 
+def test_op4_batches_are_looked_up_and_levels_merge(docs, spark):
+    """Eight inserts: what repeats between them is found through filters, and levels merge at the fan-out."""
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(100 + k, f"text {k % 20}") for k in range(60)], "doc_id long, text string"))
+    parts = [rows.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(8)) == k) for k in range(8)]
+    index = exact_dedup.DedupIndex(spark, fanout=2, broadcast_limit=0)
+    for part in parts:
+        index.insert(part)
+    assert [len(level) for level in index.levels] == [0, 0, 0, 1]
+    once = exact_dedup.DedupIndex(spark)
+    once.insert(rows)
+    key = lambda i: sorted((r["doc"] or -1, r["keep"] or -1, r["size"], r["kept"], r["sha"]) for r in i.groups().collect())
+    hits = lambda i: {bytes(r["digest"]) for h in i.hits for r in h.collect()}
+    assert hits(index) == hits(once) and key(index) == key(once)
+
+
 def test_op4_weak_digests_cost_comparisons_only(docs):
     weak = exact_dedup.exact_duplicates(docs, digest=lambda x: F.unhex(F.lit("00")))
     key = lambda df: sorted(map(repr, df.collect()))

@@ -13,6 +13,7 @@ from netloom.operators.host_profiles import host_profiles
 from netloom.operators.network_series import network_series
 from netloom.sources.decode import decode_frames
 from netloom.sources.pcap import read_captures
+from netloom.storage import materialize
 
 
 @dataclass
@@ -25,13 +26,15 @@ class Tables:
 def process(packets: DataFrame, flow: FlowParams = FlowParams(), profile: ProfileParams = ProfileParams(), series: SeriesParams = SeriesParams(), ranges: DataFrame | None = None, device: str = "", telemetry=None, sflow=None, netflow=None, flows_path: str | None = None) -> Tables:
     """The three tables of a set of packets.
 
-    Flows feed all three.  With ``flows_path`` they are written once and read
-    back, so that the two analyses do not assemble them again.
+    Flows feed all three, so they are written once, to ``flows_path`` or the
+    shared folder, and read back: the two analyses do not assemble them again.
     """
     flows = assemble_flows(packets, flow, device, enricher(ranges))
     if flows_path:
         flows.write.mode("overwrite").parquet(flows_path)
         flows = flows.sparkSession.read.schema(flows.schema).parquet(flows_path)
+    else:
+        flows = materialize(flows, "flows")
     return Tables(flows, host_profiles(flows, profile, device), network_series(flows, telemetry, sflow, netflow, series, device))
 
 

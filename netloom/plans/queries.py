@@ -242,24 +242,24 @@ def series(spark, sf_dir):
 
 
 def _sources(spark, sf_dir):
-    """Telemetry, sFlow and NetFlow rows on the packets' clock, from events dealt by their ids."""
+    """Telemetry, sFlow and NetFlow rows on the packets' clock, each from all events."""
     e = adapters.events(spark, sf_dir)
     us = F.lit(adapters.START_US) + F.floor((F.col("us") - adapters.START_US) / 1000) + (F.col("event_id") % 11 - 5) * 20_000_000
     e = e.withColumn("timestamp", exprs.iso_utc(us, millis=False))
     v = F.floor("value")
-    tele = e.where("event_id % 7 = 0").select("timestamp", (v * 10).alias("in_bytes_per_s"), (v * 20).cast("string").alias("out_bytes_per_s"), F.when(F.col("k") % 3 == 0, F.col("k")).alias("in_errors_delta"), F.lit("x").alias("out_errors_delta"), F.lit(None).cast("int").alias("in_discards_delta"), F.lit(1).alias("out_discards_delta"), (F.col("k") % 9).alias("interfaces_total"), (F.col("k") % 4).alias("interfaces_down"), F.col("k").alias("arp_entries"), F.lit(None).cast("int").alias("mac_entries"), F.lit("").alias("route_entries"), (F.col("k") / 4).alias("cpu_percent"), F.lit(None).cast("double").alias("memory_percent"))
-    samples = e.where("event_id % 5 = 1").select("timestamp", (F.col("k") % 4).alias("sampling_rate"), v.alias("frame_length"), F.when(F.col("k") % 3 != 0, (F.col("k") % 32) / 4).alias("payload_entropy"))
-    exports = e.where("event_id % 3 = 2").select("timestamp", (v * 10).alias("bytes"))
+    tele = e.select("timestamp", (v * 10).alias("in_bytes_per_s"), (v * 20).cast("string").alias("out_bytes_per_s"), F.when(F.col("k") % 3 == 0, F.col("k")).alias("in_errors_delta"), F.lit("x").alias("out_errors_delta"), F.lit(None).cast("int").alias("in_discards_delta"), F.lit(1).alias("out_discards_delta"), (F.col("k") % 9).alias("interfaces_total"), (F.col("k") % 4).alias("interfaces_down"), F.col("k").alias("arp_entries"), F.lit(None).cast("int").alias("mac_entries"), F.lit("").alias("route_entries"), (F.col("k") / 4).alias("cpu_percent"), F.lit(None).cast("double").alias("memory_percent"))
+    samples = e.select("timestamp", (F.col("k") % 4).alias("sampling_rate"), v.alias("frame_length"), F.when(F.col("k") % 3 != 0, (F.col("k") % 32) / 4).alias("payload_entropy"))
+    exports = e.select("timestamp", (v * 10).alias("bytes"))
     return tele, samples, exports
 
 
 _EXTRA = f""", near AS (SELECT min(bk) - 60 AS a0, max(bk) + 120 AS z0 FROM fb0), clock AS (
   SELECT *, (({adapters.START_US} + CAST(floor((us - {adapters.START_US}) / 1000.0) AS BIGINT) + (event_id % 11 - 5) * 20000000) // 1000000) AS s, floor(value) AS v FROM ev
 ), cl AS (SELECT *, CAST(s // 60 * 60 AS BIGINT) AS bk FROM clock, near WHERE s BETWEEN a0 AND z0), te AS (
-  SELECT bk, count(*) AS tn, sum(v * 10) AS tin, sum(v * 20) AS tout, sum(CASE WHEN k % 3 = 0 THEN k ELSE 0 END) AS terr, count(*) AS tdis, max(k % 9) AS ttot, max(k % 4) AS tdown, max(k) AS tarp, max(k / 4) AS tcpu FROM cl WHERE event_id % 7 = 0 GROUP BY bk
+  SELECT bk, count(*) AS tn, sum(v * 10) AS tin, sum(v * 20) AS tout, sum(CASE WHEN k % 3 = 0 THEN k ELSE 0 END) AS terr, count(*) AS tdis, max(k % 9) AS ttot, max(k % 4) AS tdown, max(k) AS tarp, max(k / 4) AS tcpu FROM cl GROUP BY bk
 ), sl AS (
-  SELECT bk, count(*) AS sn, sum(CASE WHEN k % 4 = 0 THEN 1 ELSE k % 4 END) AS sfr, sum(v * CASE WHEN k % 4 = 0 THEN 1 ELSE k % 4 END) AS sby, avg(CASE WHEN k % 3 <> 0 THEN (k % 32) / 4 END) AS sen FROM cl WHERE event_id % 5 = 1 GROUP BY bk
-), nf AS (SELECT bk, count(*) AS nn, sum(v * 10) AS nb FROM cl WHERE event_id % 3 = 2 GROUP BY bk)"""
+  SELECT bk, count(*) AS sn, sum(CASE WHEN k % 4 = 0 THEN 1 ELSE k % 4 END) AS sfr, sum(v * CASE WHEN k % 4 = 0 THEN 1 ELSE k % 4 END) AS sby, avg(CASE WHEN k % 3 <> 0 THEN (k % 32) / 4 END) AS sen FROM cl GROUP BY bk
+), nf AS (SELECT bk, count(*) AS nn, sum(v * 10) AS nb FROM cl GROUP BY bk)"""
 
 
 @query("network_series_joined", f"WITH {FLOWS_SQL} {_series_sql(60, 'SELECT bk FROM fb0 UNION ALL SELECT bk FROM te UNION ALL SELECT bk FROM sl UNION ALL SELECT bk FROM nf', extra=_EXTRA, joined=True)} LEFT JOIN te USING (bk) LEFT JOIN sl USING (bk) LEFT JOIN nf USING (bk)")

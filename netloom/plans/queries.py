@@ -551,3 +551,6 @@ def streaming_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = jobs.replay(source.unionByName(last), lambda p: flows_stream.stream_flows(p, IDLE))
     end = source.agg(F.max("ts_us").alias("end"))
     return closed.crossJoin(F.broadcast(end)).where("last_us < `end` - 120000000").select("src_ip", "dst_ip", "proto", "first_seq", "total_packets", "fwd_packets", "total_bytes")
+
+
+from netloom.plans import capture_queries  # noqa: E402, F401  (it adds its queries)

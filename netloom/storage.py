@@ -52,3 +52,10 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of :func:`materialize` tables that nothing reads any more."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            drop_scratch(table.sparkSession, folder)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from netloom.llm import decontamination, exact_dedup, ngram_join, sentencepiece_codec, toxicity
-from netloom.llm.common import materialize
+from netloom.storage import discard, materialize
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,6 +48,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage keeps is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for number, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if number:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

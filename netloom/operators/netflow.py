@@ -57,7 +57,7 @@ def netflow_v5(datagrams: DataFrame) -> DataFrame:
     ))
 
 
-SET = "recv_us long, seq long, exporter string, version int, domain long, export_s double, boot_s double, template_id int, fields array<struct<element: int, len: int>>, scope_count int, body binary"
+SET = "recv_us long, arrival long, seq long, exporter string, version int, domain long, export_s double, boot_s double, template_id int, fields array<struct<element: int, len: int>>, scope_count int, body binary"
 
 
 def _number(data: bytes, at: int, n: int) -> int:
@@ -110,35 +110,36 @@ def _templates(body: bytes, version: int, options: bool):
 
 
 def export_sets(datagrams: DataFrame) -> DataFrame:
-    """Templates (``fields`` set) and data sets (``body`` set) of v9 and IPFIX datagrams, ``seq`` in arrival order."""
+    """Templates (``fields`` set) and data sets (``body`` set) of v9 and IPFIX datagrams, in order of recv_us, arrival (datagram), seq (in the datagram)."""
 
     def run(batches):
         for batch in batches:
             out = []
-            for recv, exporter, data in zip(*(batch.column(c).to_pylist() for c in ("recv_us", "exporter", "payload"))):
+            for recv, arrival, exporter, data in zip(*(batch.column(c).to_pylist() for c in ("recv_us", "arrival", "exporter", "payload"))):
                 sets = _sets(data or b"")
                 facts = next(sets, None)
                 if facts is None:
                     continue
                 version, domain, export_s, boot_s = facts
                 for k, (number, body) in enumerate(sets):
-                    head = (recv, k * 1000, exporter, version, domain, export_s, boot_s)
+                    head = (recv, arrival, k << 20, exporter, version, domain, export_s, boot_s)
                     if number in ((0, 1) if version == 9 else (2, 3)):
                         for j, (t, fields, scope) in enumerate(_templates(body, version, number in (1, 3))):
-                            out.append((recv, k * 1000 + j, *head[2:], t, fields, scope, None))
+                            out.append((recv, arrival, (k << 20) + j, *head[3:], t, fields, scope, None))
                     elif number >= 256:
                         out.append((*head, number, None, None, body))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.list_(pa.struct([("element", pa.int32()), ("len", pa.int32())])), pa.int32(), pa.binary())
-            names = ["recv_us", "seq", "exporter", "version", "domain", "export_s", "boot_s", "template_id", "fields", "scope_count", "body"]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.list_(pa.struct([("element", pa.int32()), ("len", pa.int32())])), pa.int32(), pa.binary())
+            names = ["recv_us", "arrival", "seq", "exporter", "version", "domain", "export_s", "boot_s", "template_id", "fields", "scope_count", "body"]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names)
 
-    return datagrams.select("recv_us", "exporter", "payload").mapInArrow(run, SET)
+    return datagrams.select("recv_us", F.monotonically_increasing_id().alias("arrival"), "exporter", "payload").mapInArrow(run, SET)
 
 
 def with_template(sets: DataFrame, ttl_s: int = TEMPLATE_TTL_S) -> DataFrame:
     """Data sets with ``template``, the latest of their key that came before and is not older than ``ttl_s``; null if there is none."""
     fresh = F.when(F.col("fields").isNotNull(), F.struct("fields", F.col("recv_us").alias("at")))
-    latest = "last(t, true) OVER (PARTITION BY exporter, domain, template_id ORDER BY recv_us, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    order = ", ".join(["recv_us", *(c for c in ("arrival",) if c in sets.columns), "seq"])
+    latest = f"last(t, true) OVER (PARTITION BY exporter, domain, template_id ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     found = sets.withColumn("t", fresh).withColumn("t", F.expr(latest)).where("body IS NOT NULL")
     alive = F.col("recv_us") - F.col("t.at") <= ttl_s * 1_000_000
     return found.withColumn("template", F.when(alive, F.col("t.fields"))).drop("t", "fields", "scope_count")

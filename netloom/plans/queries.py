@@ -12,6 +12,7 @@ from netloom.functions import exprs
 from netloom.operators import counters, enrichment, flows, host_profiles, netflow, network_series, sflow
 from netloom.schemas import FLOW_COLUMNS, HOST_COLUMNS, SERIES_COLUMNS
 from netloom.sources import adapters, decode, pcap, sinks, telemetry
+from netloom.streaming import carry, jobs
 from netloom.streaming import flows as flows_stream
 
 QUERIES = {}
@@ -72,7 +73,7 @@ def _segments_sql(jitter: bool, idle_us: int = 60_000_000) -> str:
 ), g AS (
   SELECT *, ts_us - max(ts_us) OVER (PARTITION BY lo, hi, proto ORDER BY pkt_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS since FROM keyed
 ), seg AS (
-  SELECT *, CAST(sum(CASE WHEN since >= {idle_us} THEN 1 ELSE 0 END) OVER (PARTITION BY lo, hi, proto ORDER BY pkt_seq) AS BIGINT) AS seg FROM g
+  SELECT *, CAST(sum(CASE WHEN since >= {idle_us} THEN 1 ELSE 0 END) OVER (PARTITION BY lo, hi, proto ORDER BY pkt_seq) AS BIGINT) AS seg, CAST(NULL AS VARCHAR) AS cut FROM g
 )"""
 
 
@@ -84,8 +85,7 @@ def idle_segments(spark, sf_dir):
 CUTS = FlowParams(active_timeout_s=60, idle_timeout_s=90, max_packets_per_flow=4)
 
 
-@query("flow_cuts", f"""
-WITH RECURSIVE {adapters.packets_sql(True)}, keyed AS (
+_FOLD_SQL = f"""{adapters.packets_sql(True)}, keyed AS (
   SELECT pkt_seq, ts_us, src_ip || ':' || src_port AS src, proto, tcp_flags, {KEY_SQL.split(", ", 1)[1]} FROM packets
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY lo, hi, proto ORDER BY pkt_seq) AS rn FROM keyed
@@ -106,19 +106,28 @@ WITH RECURSIVE {adapters.packets_sql(True)}, keyed AS (
       FROM fold f JOIN r ON r.lo = f.lo AND r.hi = f.hi AND r.proto = f.proto AND r.rn = f.rn + 1
     )
   )
-)
-SELECT pkt_seq, start AS flow_start, CASE WHEN cut = 'teardown' THEN cut END AS torn FROM fold
-""")
+)"""
+
+
+@query("flow_cuts", f"WITH RECURSIVE {_FOLD_SQL} SELECT pkt_seq, start AS flow_start, cut FROM fold")
 def flow_cuts(spark, sf_dir):
     split = flows.split_flows(adapters.packets(spark, sf_dir, jitter=True), CUTS)
     start = F.expr(f"min(pkt_seq) OVER (PARTITION BY {', '.join(flows.FLOW)})")
-    return split.select("pkt_seq", start.alias("flow_start"), F.when(F.col("cut") == "teardown", F.col("cut")).alias("torn"))
+    # Idle cuts open a segment of their own, and only the fold names them.
+    opens = F.expr("pkt_seq = min(pkt_seq) OVER (PARTITION BY {0}, seg) AND seg > min(seg) OVER (PARTITION BY {0})".format(", ".join(flows.KEY)))
+    after_torn = F.expr(f"lag(cut) OVER (PARTITION BY {', '.join(flows.KEY)} ORDER BY pkt_seq) <=> 'teardown'")
+    cut = F.coalesce(F.col("cut"), F.when(opens & ~after_torn, F.lit("idle-timeout")))
+    return split.select("pkt_seq", start.alias("flow_start"), cut.alias("cut"))
 
 
 _STATS = lambda out, x, scale="": ", ".join(f"{_r(f'{fn}({x}){scale}')} AS {out}_{suffix}" for suffix, fn in (("mean", "avg"), ("std", "stddev_pop"), ("min", "min"), ("max", "max")))
 _FLAGS = {"syn": 2, "fin": 1, "rst": 4, "psh": 8, "ack": 16, "urg": 32, "ece": 64, "cwr": 128}
-FLOWS_SQL = f"""
-{_segments_sql(False)}, p1 AS (
+
+
+def flows_sql(segments: str, idle_us: int, end: str = "max(lu) OVER ()") -> str:
+    """flows from ``segments``, a list of CTEs that ends with seg (packets with lo, hi, seg, cut)."""
+    return f"""
+{segments}, p1 AS (
   SELECT *, lo || hi AS k1, max(ts_us) OVER f AS eff, (src_ip, src_port) = first_value((src_ip, src_port)) OVER f AS fwd FROM (SELECT * REPLACE (CAST(lo AS VARCHAR) AS lo, CAST(hi AS VARCHAR) AS hi) FROM seg)
   WINDOW f AS (PARTITION BY lo, hi, proto, seg ORDER BY pkt_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ), p2 AS (
@@ -138,19 +147,19 @@ FLOWS_SQL = f"""
          coalesce(first(tcp_window ORDER BY pkt_seq) FILTER (fwd AND proto = 6), 0) AS init_win_fwd, coalesce(first(tcp_window ORDER BY pkt_seq) FILTER (NOT fwd AND proto = 6), 0) AS init_win_bwd,
          CAST(coalesce(min(payload_len) FILTER (fwd AND payload_len > 0), 0) AS BIGINT) AS fwd_min_seg_size,
          first(eff ORDER BY pkt_seq) FILTER (fwd AND tcp_flags & 2 <> 0 AND tcp_flags & 16 = 0) AS su, first(eff ORDER BY pkt_seq) FILTER (NOT fwd AND tcp_flags & 2 <> 0 AND tcp_flags & 16 <> 0) AS sau,
-         coalesce(bool_or(tcp_flags & 1 <> 0 AND fwd), false) AS f1, coalesce(bool_or(tcp_flags & 1 <> 0 AND NOT fwd), false) AS f2,
+         bool_or(coalesce(cut = 'teardown', false)) AS torn, first(cut ORDER BY pkt_seq) AS first_cut, coalesce(bool_or(tcp_flags & 1 <> 0 AND fwd), false) AS f1, coalesce(bool_or(tcp_flags & 1 <> 0 AND NOT fwd), false) AS f2,
          {_r("avg(ttl)", 2)} AS ttl_mean, {_r("stddev_pop(ttl)", 3)} AS ttl_std, min(ttl) AS ttl_min, max(ttl) AS ttl_max, count(*) FILTER (is_fragment) AS fragment_packets
   FROM p3 GROUP BY lo, hi, proto, seg, capture_file, vlan_id
 ), x AS (
-  SELECT *, (lu - fu) / 1e6 AS d, fp + bp AS tp, fb + bb AS tb, lead(seg) OVER (PARTITION BY lo, hi, proto ORDER BY seg) IS NOT NULL AS more, max(lu) OVER () AS ce FROM a JOIN b USING (lo, hi, proto, seg)
+  SELECT *, (lu - fu) / 1e6 AS d, fp + bp AS tp, fb + bb AS tb, lead(seg) OVER (PARTITION BY lo, hi, proto ORDER BY seg) IS NOT NULL AS more, lead(first_cut) OVER (PARTITION BY lo, hi, proto ORDER BY seg) AS next_cut, {end} AS ce FROM a JOIN b USING (lo, hi, proto, seg)
 ), flows AS (
   SELECT src_ip || '|' || src_port || '|' || dst_ip || '|' || dst_port || '|' || proto || '|' || CAST(fu // 1000000 AS VARCHAR) || '.' || lpad(CAST(fu % 1000000 AS VARCHAR), 6, '0') AS flow_id, '' AS device, capture_file, src_ip, src_port, dst_ip, dst_port,
          proto AS protocol, CASE proto WHEN 6 THEN 'TCP' WHEN 17 THEN 'UDP' END AS protocol_name, ip_version, vlan_id,
          strftime(make_timestamp(fu), '%Y-%m-%dT%H:%M:%S.') || lpad(CAST(fu % 1000000 // 1000 AS VARCHAR), 3, '0') || 'Z' AS start_time, strftime(make_timestamp(lu), '%Y-%m-%dT%H:%M:%S.') || lpad(CAST(lu % 1000000 // 1000 AS VARCHAR), 3, '0') || 'Z' AS end_time,
-         round(fu / 1e6, 6) AS start_epoch, round(lu / 1e6, 6) AS end_epoch, {_r("d")} AS duration_s, CASE WHEN more OR ce - lu >= 60000000 THEN 'idle-timeout' ELSE 'end-of-capture' END AS expiry_reason,
+         round(fu / 1e6, 6) AS start_epoch, round(lu / 1e6, 6) AS end_epoch, {_r("d")} AS duration_s, CASE WHEN torn THEN 'teardown' WHEN next_cut IS NOT NULL THEN next_cut WHEN more OR ce - lu >= {idle_us} THEN 'idle-timeout' ELSE 'end-of-capture' END AS expiry_reason,
          tp AS total_packets, fp AS fwd_packets, bp AS bwd_packets, tb AS total_bytes, fb AS fwd_bytes, bb AS bwd_bytes, ff + bf AS total_frame_bytes, ff AS fwd_frame_bytes, bf AS bwd_frame_bytes,
          {_ratio("tp", "d")} AS packets_per_s, {_ratio("tb", "d")} AS bytes_per_s, {_ratio("fb", "d")} AS fwd_bytes_per_s, {_ratio("bb", "d")} AS bwd_bytes_per_s,
-         * EXCLUDE (src_ip, src_port, dst_ip, dst_port, proto, ip_version, vlan_id, capture_file, lo, hi, seg, fu, lu, fp, bp, fb, bb, ff, bf, su, sau, f1, f2, am, asd, ax, ac, d, tp, tb, more, ce),
+         * EXCLUDE (src_ip, src_port, dst_ip, dst_port, proto, ip_version, vlan_id, capture_file, lo, hi, seg, fu, lu, fp, bp, fb, bb, ff, bf, su, sau, f1, f2, am, asd, ax, ac, d, tp, tb, more, ce, torn, first_cut, next_cut),
          {_r("am / 1e6")} AS active_mean, {_r("asd / 1e6")} AS active_std, {_r("ax / 1e6")} AS active_max, ac AS active_count,
          {", ".join(f"{_ratio(f'{f}_count', 'tp')} AS {f}_ratio" for f in ("syn", "fin", "rst", "psh", "ack", "urg"))}, {_r("greatest(0, (sau - su) / 1000.0)", 3)} AS tcp_handshake_ms,
          CASE WHEN proto <> 6 THEN 'n/a' WHEN rst_count > 0 THEN 'reset' WHEN f1 AND f2 THEN 'closed' WHEN f1 OR f2 THEN 'closing' WHEN su IS NOT NULL AND sau IS NOT NULL THEN 'established' WHEN su IS NOT NULL THEN 'syn-sent' ELSE 'ongoing' END AS tcp_state,
@@ -160,14 +169,20 @@ FLOWS_SQL = f"""
 )"""
 
 
+FLOWS_SQL = flows_sql(_segments_sql(False), 60_000_000)
+#: The same after all five ways to end a flow.
+CUT_FLOWS_SQL = flows_sql(f"{_FOLD_SQL}, seg AS (SELECT p.*, f.lo, f.hi, f.start AS seg, f.cut FROM packets p JOIN fold f USING (pkt_seq))", 90_000_000)
+STREAMED_SQL = flows_sql(f"{_FOLD_SQL}, seg AS (SELECT p.*, f.lo, f.hi, f.start AS seg, f.cut FROM packets p JOIN fold f USING (pkt_seq))", 90_000_000, "CAST(9e18 AS BIGINT)")
+
+
 @query("flow_rows", f"WITH {FLOWS_SQL} SELECT {', '.join(FLOW_COLUMNS)} FROM flows")
 def flow_rows(spark, sf_dir):
     return flows.assemble_flows(adapters.packets(spark, sf_dir), IDLE, enrich=enrichment.scope_only)
 
 
-@query("flow_rows_all_cuts")
+@query("flow_rows_all_cuts", f"WITH RECURSIVE {CUT_FLOWS_SQL} SELECT {', '.join(FLOW_COLUMNS)} FROM flows")
 def flow_rows_all_cuts(spark, sf_dir):
-    """All five ways a flow ends, and the 95 columns; its cuts are checked by ``flow_cuts``, its columns by ``flow_rows``."""
+    """All five ways a flow ends, and the 95 columns."""
     return flows.assemble_flows(adapters.packets(spark, sf_dir, jitter=True), CUTS, enrich=enrichment.scope_only)
 
 
@@ -536,21 +551,25 @@ def session_windows(spark, sf_dir):
 
 # -- streaming --------------------------------------------------------------
 
-@query("streaming_flows", f"""
-WITH {_segments_sql(False)}, f AS (SELECT *, (src_ip, src_port) = first_value((src_ip, src_port)) OVER (PARTITION BY lo, hi, proto, seg ORDER BY pkt_seq) AS fwd FROM seg)
-SELECT first(src_ip ORDER BY pkt_seq) AS src_ip, first(dst_ip ORDER BY pkt_seq) AS dst_ip, proto, min(pkt_seq) AS first_seq, count(*) AS total_packets, count(*) FILTER (fwd) AS fwd_packets, CAST(sum(payload_len) AS BIGINT) AS total_bytes
-FROM f GROUP BY lo, hi, proto, seg HAVING max(ts_us) < (SELECT max(ts_us) FROM packets) - 120000000
-""")
+@query("streaming_flows", f"WITH RECURSIVE {STREAMED_SQL} SELECT {', '.join(FLOW_COLUMNS)} FROM flows")
 def streaming_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packets as a stream: idle flows that have closed well before the end."""
-    from netloom.streaming import jobs
-
-    source = adapters.packets(spark, sf_dir)
-    # A packet long after the end moves the watermark past all flows, whatever the delay.
-    last = source.orderBy(F.desc("ts_us")).limit(1).withColumns({"ts_us": F.col("ts_us") + 3_600_000_000, "pkt_seq": F.lit(source.agg(F.max("pkt_seq")).first()[0] + 1).cast("long"), "capture_file": F.lit("end")})
-    closed = jobs.replay(source.unionByName(last), lambda p: flows_stream.stream_flows(p, IDLE))
-    end = source.agg(F.max("ts_us").alias("end"))
-    return closed.crossJoin(F.broadcast(end)).where("last_us < `end` - 120000000").select("src_ip", "dst_ip", "proto", "first_seq", "total_packets", "fwd_packets", "total_bytes")
+    """The packets, out of order, as a stream: all flows, with all columns; a last packet long after closes what is open."""
+    source = flows_stream.end_of_capture(adapters.packets(spark, sf_dir, jitter=True))
+    closed = jobs.replay(source, lambda p: flows_stream.stream_flows(p, CUTS))
+    return flows_stream.rows_of_closed(closed, CUTS, enrich=enrichment.scope_only)
+
+
+@query("streaming_counters", f"WITH {_COUNTER_SQL} SELECT device, if_index, arrival, CAST(iod AS BIGINT) AS in_octets_delta, CAST(ood AS BIGINT) AS out_octets_delta, interval_s, first AS first_sample, reset AS counter_reset FROM c3")
+def streaming_counters(spark, sf_dir):
+    samples = _interface_samples(spark, sf_dir)
+    made = jobs.replay(samples, lambda s: lambda out, state: carry.run_counters(s, out, state, available_now=True), order="epoch", batches=3)
+    return made.select("device", "if_index", "arrival", "in_octets_delta", "out_octets_delta", "interval_s", "first_sample", "counter_reset")
+
+
+@query("streaming_templates", _SETS_SQL + " SELECT event_id, exporter, domain, template_id, template FROM d")
+def streaming_templates(spark, sf_dir):
+    found = jobs.replay(_export_sets(spark, sf_dir), lambda s: lambda out, state: carry.run_templates(s, out, state, 60, available_now=True), order="recv_us", batches=3)
+    return found.select(F.col("seq").alias("event_id"), "exporter", "domain", F.col("template_id").cast("long").alias("template_id"), F.get("template", F.lit(0))["element"].cast("long").alias("template"))
 
 
 from netloom.plans import capture_queries  # noqa: E402, F401  (it adds its queries)

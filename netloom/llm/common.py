@@ -2,64 +2,47 @@
 
 from __future__ import annotations
 
-import atexit
+import math
 import os
-import shutil
-import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Data that is broadcast is counted first and must stay below this size.
-BROADCAST_BYTES = 32 << 20
-
-_LOCAL_ROOT: list[str] = []
+from netloom.storage import discard, drop_scratch, materialize, scratch
 
+__all__ = ["BROADCAST_BYTES", "TEXT_ROWS", "Bitmap", "bounded_broadcast", "discard", "drop_scratch", "fresh", "local_files", "materialize", "scratch", "texts_of", "worker_cache"]
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is the one that ``spark.checkpoint.dir`` names.  Where the setting is
-    absent (local tests) a temporary folder of this process stands in.
-    """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _LOCAL_ROOT:
-        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="netloom-"))
-        atexit.register(shutil.rmtree, _LOCAL_ROOT[0], ignore_errors=True)
-    return _LOCAL_ROOT[0]
-
+#: Data that is broadcast is counted first and must stay below this size.
+BROADCAST_BYTES = 32 << 20
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_root(spark)}/netloom/{name}-{uuid.uuid4().hex[:12]}"
+def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if the counted rows fit the bound, else leave the join to a shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
-def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+class Bitmap:
+    """Bits of a set of 64-bit hashes, to leave out early what a join would not match.
 
-    This cuts the lineage: a lost executor costs the tasks of the reader,
-    not the whole history, and what is read twice is the same twice.
+    Its size grows with the set up to ``MOST_BITS``; a fuller one lets more pass.
     """
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    #: Bits a hash, and most bits of all (16 MB).
+    EACH, MOST = 1024, 1 << 27
 
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    """Remove a path of :func:`scratch` that no DataFrame reads any more."""
-    if "/netloom/" not in path:
-        raise ValueError(f"not a scratch path: {path}")
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    def __init__(self, hashes: DataFrame, column: str):
+        """The bits reach the driver as at most ``MOST`` / 64 words, whatever the number of hashes."""
+        self.shift = 64 - min(self.MOST.bit_length() - 1, max(16, math.ceil(math.log2(1 + self.EACH * hashes.count()))))
+        at = F.expr(f"shiftrightunsigned({column}, {self.shift})")
+        words = hashes.groupBy(F.shiftright(at, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {self.shift}) & 63 AS INT))")).alias("bits")).toArrow()
+        bits = np.zeros(1 << (64 - self.shift - 6), np.int64)
+        bits[np.asarray(words.column("word"))] = np.asarray(words.column("bits"))
+        self.bits = bits.view(np.uint8)
 
-
-def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast if the counted rows fit the bound, else leave the join to a shuffle."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """Positions of the hashes that are probably in the set."""
+        at = (hashes.view(np.uint64) >> np.uint64(self.shift)).astype(np.int64)
+        return np.flatnonzero((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
 
 
 def fresh(name: str, *frames: DataFrame) -> str:
@@ -103,4 +86,9 @@ def worker_cache(key, build):
 
 def local_files() -> str:
     """The folder of the public tokenizer files; NETLOOM_TOKENIZERS overrides it."""
-    return os.environ.get("NETLOOM_TOKENIZERS", "/opt/tokenizers")
+    named = os.environ.get("NETLOOM_TOKENIZERS")
+    if named:
+        return named
+    import public_tokenizers
+
+    return os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))

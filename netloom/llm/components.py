@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netloom.llm.common import materialize
+from netloom.llm.common import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,8 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round takes the smallest label of the neighbours, for the node and for
     the node that is its label (the root is hooked), and then the label of that
-    label, so chains shrink by a factor; rounds go on until no label moves.  Labels are written after each round.  All
-    aggregations are minima, which shrink before the shuffle, so a node with
+    label, so chains shrink by a factor; rounds go on until no label moves.  Labels
+    are written after each round and the ones before it removed.  All aggregations are minima, which shrink before the shuffle, so a node with
     very many edges is no burden.
     """
     both = edges.select("a", "b").where("a <> b")
@@ -29,6 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
         target = labels.select(F.col("id").alias("via"), F.col("label").alias("beyond"))
         jumped = joined.join(target, joined.label == target.via, "left").select("id", "old", F.least("label", "beyond").alias("label"))
         step = materialize(jumped, "labels")
+        discard(labels)
         labels = step.select("id", "label")
         if step.where("old <> label").isEmpty():
+            discard(both)
             return labels.select("id", F.col("label").alias("component"))

@@ -27,16 +27,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import bounded_broadcast, fresh, materialize, texts_of, worker_cache
+from netloom.llm.common import Bitmap, bounded_broadcast, discard, fresh, materialize, texts_of, worker_cache
 from netloom.llm.components import components
 
 N, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9999, 320
 #: Classes of a group that one task takes whole; a larger group is dealt into blocks.
 BLOCK = 128
+#: The same for a bucket, whose rows are small.
+BUCKET_BLOCK = 512
 #: Most classes in a block, which bounds a task to twice as many.
 LARGEST_BLOCK = 1024
 #: Standard deviations below the threshold at which sketches still make a candidate; 7 lose less than one pair in 10^11.
@@ -153,18 +156,29 @@ def _upto(count: Column) -> Column:
     return F.when(F.coalesce(count, F.lit(0)) > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def candidates(classes: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(a, b) edges (class numbers) of a spanning forest of the classes that share a band and whose sketches agree nearly as the threshold asks."""
-    bands = classes.select("num", F.explode("bands").alias("band"))
-    shared = materialize(bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
+def candidates(classes: DataFrame, threshold: float, block: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(a, b) edges (class numbers) of a spanning forest of the classes that share a band and whose sketches agree nearly as the threshold asks; and the tables it reads."""
+    members = classes.select(F.explode("bands").alias("band")).groupBy("band").agg(F.count(F.lit(1)).alias("members"))
+    shared = materialize(members.where("members > 1"), "buckets")
+    known = Bitmap(shared, "band")
+
+    def probably_shared(batches):
+        for batch in batches:
+            bands = batch.column(1)
+            at = pa.array(known.holds(np.asarray(bands.flatten())))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pc.list_parent_indices(bands).take(at)), bands.flatten().take(at)], ["num", "band"])
+
     blocks = F.when(F.col("members") <= block, F.lit(1)).otherwise(_block_count(F.col("members"), block))
+    bands = classes.select("num", "bands").mapInArrow(probably_shared, "num long, band long")
     held = bands.join(shared.select("band", blocks.alias("blocks")), "band").groupBy("num").agg(F.collect_list(F.struct("band", "blocks")).alias("buckets"))  # at most one a band
+    held = materialize(held, "held")
     k = F.pmod(F.xxhash64("num", "bucket.band"), F.col("bucket.blocks")).cast("int")
     dealt = classes.select("num", "sketch").join(held, "num").select("num", "sketch", F.explode("buckets").alias("bucket")).withColumn("k", k)
     dealt = dealt.select("num", "sketch", F.col("bucket.band").alias("band"), "k", F.explode(_upto(F.col("bucket.blocks"))).alias("x"))
     key = F.xxhash64("band", F.least("k", "x"), F.greatest("k", "x"))
-    rows = dealt.select(key.alias("key"), "band", F.least("k", "x").alias("i"), F.greatest("k", "x").alias("j"), "num", "sketch")
-    return rows.repartition("key").sortWithinPartitions("key", "band", "i", "j").mapInArrow(_forests(threshold), "a long, b long").distinct()
+    rows = dealt.select(key.alias("key"), "band", F.least("k", "x").alias("i"), F.greatest("k", "x").alias("j"), (F.col("k") > F.col("x")).alias("second"), "num", "sketch")
+    edges = rows.repartition("key").sortWithinPartitions("key", "band", "i", "j", "num").mapInArrow(_forests(threshold), "a long, b long").distinct()
+    return edges, [shared, held]
 
 
 def least_agreement(threshold: float, hashes: int) -> int:
@@ -172,18 +186,48 @@ def least_agreement(threshold: float, hashes: int) -> int:
     return math.ceil(hashes * threshold - SLACK * math.sqrt(hashes * threshold * (1 - threshold)))
 
 
-def forest(ids: np.ndarray, sketches: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the graph of sketches (rows) that agree in ``least`` places."""
-    left, edges = np.arange(len(ids)), []
+def trees(sketches: np.ndarray, least: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The components of the graph of sketches (rows) that agree in ``least`` places, and the edges of a spanning forest.
+
+    Rows come by number, so the buckets of a group mostly hang their rows on the
+    same few smallest ones and give the same edges.
+    """
+    left, edges, tree = np.arange(len(sketches)), [], np.zeros(len(sketches), np.int64)
     while len(left):
-        reached, left = [left[0]], left[1:]
-        while reached and len(left):
+        root = left[0]
+        reached, left = [root], left[1:]
+        while reached:
             at = reached.pop()
+            tree[at] = root
             near = (sketches[left] == sketches[at]).sum(axis=1) >= least
-            found = left[near]
-            edges += [(int(ids[x]), int(ids[at])) for x in found.tolist() if ids[x] != ids[at]]
-            reached += found.tolist()
+            edges += [(x, int(at)) for x in left[near].tolist()]
+            reached += left[near].tolist()
             left = left[~near]
+    return tree, edges
+
+
+def bridges(sketches: np.ndarray, second: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Edges that join the trees of two blocks; inside a block there is another task for them."""
+    sides = [np.flatnonzero(~second), np.flatnonzero(second)]
+    of = [trees(sketches[side], least)[0] for side in sides]
+    root = {(k, t): (k, t) for k in (0, 1) for t in np.unique(of[k]).tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    edges = []
+    for t in np.unique(of[0]).tolist():
+        for at in np.flatnonzero(of[0] == t).tolist():
+            rest = np.array([u for u in np.unique(of[1]).tolist() if find((1, u)) != find((0, t))], np.int64)
+            if not len(rest):
+                break
+            near = np.flatnonzero(np.isin(of[1], rest))
+            near = near[(sketches[sides[1][near]] == sketches[sides[0][at]]).sum(axis=1) >= least]
+            for u, k in zip(*np.unique(of[1][near], return_index=True)):
+                edges.append((int(sides[0][at]), int(sides[1][near[k]])))
+                root[find((1, int(u)))] = find((0, t))
     return edges
 
 
@@ -194,16 +238,18 @@ def _forests(threshold: float):
         def done() -> list[tuple[int, int]]:
             if len(rows) < 2:
                 return []
-            sketches = np.frombuffer(b"".join(rows.values()), np.uint8).reshape(len(rows), -1)
-            return forest(np.array(list(rows)), sketches, least_agreement(threshold, sketches.shape[1]))
+            nums, sketches = list(rows), np.frombuffer(b"".join(s for s, _ in rows.values()), np.uint8).reshape(len(rows), -1)
+            least = least_agreement(threshold, sketches.shape[1])
+            edges = trees(sketches, least)[1] if group[1] == group[2] else bridges(sketches, np.array([x for _, x in rows.values()]), least)
+            return [(nums[a], nums[b]) for a, b in edges]
 
         for batch in batches:
             edges = []
-            for band, i, j, own, sketch in zip(*(batch.column(c).to_pylist() for c in ("band", "i", "j", "num", "sketch"))):
+            for band, i, j, second, num, sketch in zip(*(batch.column(c).to_pylist() for c in ("band", "i", "j", "second", "num", "sketch"))):
                 if (band, i, j) != group:
                     edges += done()
                     group, rows = (band, i, j), {}
-                rows[own] = sketch
+                rows[num] = (sketch, second)
             yield _pairs(edges)
         yield _pairs(done())
 
@@ -311,30 +357,36 @@ def _verified(threshold: float, as_pairs: bool):
 class JaccardJoin:
     """The self-join of ``docs``; see :func:`similar_documents` for the cases it defines."""
 
-    def __init__(self, docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES, block: int = BLOCK, bucket_block: int = BUCKET_BLOCK, id_col: str = "doc_id", text_col: str = "text"):
         self.docs, self.n, self.threshold, self.block, self.id_col, self.text_col = docs, n, threshold, block, id_col, text_col
         self.bands, self.rows = choose_bands(threshold, recall, hashes)
         self.signed = materialize(signatures(docs, n, self.bands, self.rows, id_col, text_col), "signatures")
         classes = self.signed.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands", ignorenulls=True).alias("bands"), F.first("sketch", ignorenulls=True).alias("sketch"))
         self.classes = materialize(classes.withColumn("num", F.monotonically_increasing_id()), "classes")
-        groups = components(candidates(self.classes, threshold, block)).withColumnRenamed("id", "num")
+        edges, used = candidates(self.classes, threshold, bucket_block)
+        groups = components(edges).withColumnRenamed("id", "num")
         self.members = materialize(self.classes.select("num", "id", "sig", "n").join(groups, "num").drop("num"), "members")
+        discard(groups, *used)
 
-    def _compared(self, as_pairs: bool) -> DataFrame:
+    def _compared(self, as_pairs: bool) -> tuple[DataFrame, list[DataFrame]]:
+        """The links, and the tables that they are computed from."""
         tasks = materialize(_tasks(self.members, self.threshold, self.block), "tasks")
         ids = self.members.select("id").distinct()
         texts = self.docs.select(F.col(self.id_col).cast("long").alias("id"), F.col(self.text_col).alias("text"))
         sets = materialize(texts.join(bounded_broadcast(ids, 48), "id", "left_semi").mapInArrow(_sets(self.n), "id long, sig binary, grams binary"), "sets")
         dealt = tasks.join(sets, ["id", "sig"]).select("key", "side", "id", "grams")
         # Ranges of keys hold about the same number of rows each, whatever the sizes of the groups.
-        return dealt.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(_verified(self.threshold, as_pairs), "a long, b long, value double")
+        links = dealt.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(_verified(self.threshold, as_pairs), "a long, b long, value double")
+        return links, [tasks, sets]
 
     def pairs(self) -> DataFrame:
         """id_a, id_b, similarity of all linked classes; their number can grow with the square of a group."""
-        return self._compared(True).select(F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("value").alias("similarity"))
+        return self._compared(True)[0].select(F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("value").alias("similarity"))
 
     def documents(self) -> DataFrame:
-        links = materialize(self._compared(False), "links")
+        found, used = self._compared(False)
+        links = materialize(found, "links")
+        discard(*used)
         count = links.groupBy(F.col("a").alias("id")).agg(F.sum("value").cast("long").alias("n_links"))
         groups = components(links.select("a", "b"))
         classes = self.classes.select("sig", "id", "copies").join(groups, "id", "left").join(count, "id", "left")

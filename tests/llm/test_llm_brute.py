@@ -1,9 +1,11 @@
 """Each query over the small tables against its SQL or a brute-force version."""
 
+import json
 import re
 import zlib
 from collections import Counter
 from itertools import combinations
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -11,8 +13,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import DATA, assert_same
+from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, decontamination, importance, ngram_join, queries, sentencepiece_codec, token_store, toxicity
+from netloom.llm import chat_format, decontamination, importance, ngram_join, queries, resharding, sentencepiece_codec, token_store, toxicity
 
 BIG = "/root/testdata/sf0.01"
 
@@ -70,12 +73,36 @@ def test_op2(spark, docs, block):
     near = dict(docs) | {10_000 + k: " ".join(base[: k * 3] + [f"new{k}"] + base[k * 3 + 1 :]) for k in range(12)}
     df = spark.createDataFrame(list(near.items()), "doc_id long, text string")
     group, links = brute_groups(near)
-    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.similar_documents(df, block=block).collect()}
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.similar_documents(df, block=block, bucket_block=block).collect()}
     assert got == {i: (group[i], links[i]) for i in near} and max(links.values()) >= 10
-    pairs = {(r["id_a"], r["id_b"]) for r in ngram_join.JaccardJoin(df, block=block).pairs().collect()}
+    pairs = {(r["id_a"], r["id_b"]) for r in ngram_join.JaccardJoin(df, block=block, bucket_block=block).pairs().collect()}
     assert len(pairs) >= 60 and all(group[a] == group[b] for a, b in pairs)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_op2_forests_connect_what_is_linked(seed):
+    """Trees inside blocks and bridges between them give the components of all pairs, with fewer edges than rows."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 256, (6, 40), dtype=np.uint8)
+    rows = base[rng.integers(0, 6, 60)].copy()
+    rows[rng.random(rows.shape) < 0.25] = 7
+    second = rng.random(60) < 0.5
+
+    def components(edges):
+        label = list(range(60))
+        for _ in range(60):
+            for a, b in edges:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    everything = [(a, b) for a, b in combinations(range(60), 2) if (rows[a] == rows[b]).sum() >= 24]
+    edges = []
+    for side in (np.flatnonzero(~second), np.flatnonzero(second)):
+        edges += [(int(side[a]), int(side[b])) for a, b in ngram_join.trees(rows[side], 24)[1]]
+    assert components(edges + ngram_join.bridges(rows, second, 24)) == components(everything)
+    assert len(edges) + len(ngram_join.bridges(rows, second, 24)) < 120
+
+
 def test_op2_bands_reach_the_recall():
     bands, rows = ngram_join.choose_bands(0.8, 0.9999, 320)
     assert bands * rows <= 320 and 1 - (1 - 0.8**rows) ** bands >= 0.9999
@@ -202,12 +229,23 @@ def test_pieces_are_the_librarys(text):
         path = "/opt/tokenizers/piece_bpe_32k.model"
         _SP.extend([sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.read_model(path)])
     lib, pieces = _SP
-    text = text.replace("\0", "")
     ((_, ids, _),) = sentencepiece_codec.encoder(pieces).blocks([text])
     assert ids.tolist() == lib.encode(text)
     assert sentencepiece_codec.decode(ids.tolist(), pieces) == text.replace("▁", " ")
 
 
+@pytest.mark.parametrize("text", ["a" * 5000, "=" * 3000, "ab" * 2000, "abc" * 1500, "hahaho" * 700, "日本語的一是不" * 500, "".join(chr(0x4E00 + 37 * k % 20000) for k in range(4000)), "returnvalue();" * 300 + "x", "😀é" * 900, "0123456789" * 400, "the=of;" * 500 + " and " + "z" * 1000])
+def test_long_segments_are_encoded_in_windows(text):
+    import sentencepiece
+
+    if not _SP:
+        path = "/opt/tokenizers/piece_bpe_32k.model"
+        _SP.extend([sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.read_model(path)])
+    lib, pieces = _SP
+    ids = np.concatenate([x for _, x, _ in sentencepiece_codec.encoder(pieces).blocks([text, "short one", text[7:]])])
+    assert ids.tolist() == lib.encode(text) + lib.encode("short one") + lib.encode(text[7:])
+
+
 def test_unigram_edges_compete_by_score():
     kinds = ["normal"] * 6
     p = sentencepiece_codec.Pieces(["▁a", "b", "ab", "▁ab", "c", "bc"], [-1.0, -1.0, -9.0, -3.0, -1.0, -1.5], kinds, bpe=False)
@@ -255,9 +293,9 @@ def _found(item, text, min_cover=decontamination.MIN_COVER):
         if reading != d.PASSAGE:
             held[reading, width, h] = (item_pos, spans, slots, slot_spans)
     total = len({x for _, spans, *_ in held.values() for a, b in zip(spans[::2], spans[1::2]) for x in range(a, b)})
-    everything = d.Filter(np.full(1 << 16, 255, np.uint8), 45, sorted({k[:2] for k in held}))
+    everything = SimpleNamespace(holds=lambda hashes: np.arange(len(hashes)))
     hits = []
-    for reading, width, hashes, *columns, values, count in d.document_windows(t, text, everything):
+    for reading, width, hashes, *columns, values, count in d.document_windows(t, text, sorted({k[:2] for k in held}), everything):
         ends = np.cumsum(count)
         for h, pos, start, stop, end, n in zip(hashes.view(np.int64).tolist(), *(c.tolist() for c in columns), ends.tolist(), count.tolist()):
             if (reading, width, h) in held:
@@ -327,9 +365,10 @@ def test_op7_unseen_inflections_of_stems_of_any_length(spark, stems):
 
 def test_long_chains_of_random_ids_settle(spark, monkeypatch):
     from netloom.llm import components
+    from netloom.llm.common import materialize
 
     rounds = []
-    monkeypatch.setattr(components, "materialize", lambda df, name: rounds.append(name) or df.localCheckpoint())
+    monkeypatch.setattr(components, "materialize", lambda df, name: rounds.append(name) or materialize(df, name))
     ids = np.random.default_rng(3).permutation(800).tolist()
     edges = spark.createDataFrame([*zip(ids, ids[1:]), (900, 901)], "a long, b long")
     got = {r["id"]: r["component"] for r in components.components(edges).collect()}
@@ -385,3 +424,46 @@ def test_op6_repetitive_texts_are_quick():
     assert _found(" ".join(["again"] * 100), " ".join(["again"] * 8000))[0][1] == 1
     assert _found("ho ha " * 50 + "he", "ho ha " * 4000)
     assert process_time() - began < 2  # both together, with all 16,000 hits in plain Python
+
+
+@pytest.mark.parametrize("name,end", [("byte_bpe_50k.json", 50256), ("word_bpe_49k.json", 70_000)])
+def test_op5_other_tokenizers_and_wide_ids(spark, docs, name, end):
+    """A file whose pattern is not the known one gets whole texts; ids above 65,535 make the whole store 4 bytes wide."""
+    from tokenizers import Tokenizer
+
+    path = f"/opt/tokenizers/{name}"
+    assert token_store._cuts(json.loads(open(path, encoding="utf-8").read())) is name.startswith("word")
+    tok, some = Tokenizer.from_file(path), dict(list(docs.items())[:40]) | {-1: "<|endoftext|> 日本語 naïve\0 x", -2: None}
+    df = spark.createDataFrame(list(some.items()), "doc_id long, text string")
+    root = token_store.write_store(df, path, end)
+    want = {i: tok.encode(t or "", add_special_tokens=False).ids + [end] for i, t in some.items()}
+    assert {r["doc_id"]: r["ids"] for r in token_store.read_documents(spark, root).collect()} == want
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_store.document_facts(spark, root).collect()}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()}
+    widths = {r["payload"][0] for r in spark.read.parquet(f"{root}/chunks").collect()}
+    assert widths == {2 if end < 65536 else 4}
+
+
+def test_op1_cells_and_least_bytes(spark):
+    """Blocks larger than a file are cut into cells; what stays is not written; the plan is near the optimum of the flow."""
+    rows = spark.read.parquet(f"{DATA}/documents.parquet")
+    old = F.pmod(F.xxhash64("source"), F.lit(3))
+    out, path, plan = resharding.reshard(rows, old, 3, 5, blocks=8, file_bytes=4000)
+    got = out.select("doc_id", "size", "shard", "slot", old.alias("was")).toPandas()
+    assert sorted(got.doc_id) == sorted(r["doc_id"] for r in rows.select("doc_id").collect())
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+    moved = got[got.shard != got.was]
+    assert moved["size"].sum() == plan.moved_bytes >= plan.least_bytes > 0
+    written = spark.read.parquet(path).select("doc_id", "shard", "slot").toPandas()
+    assert sorted(written.doc_id) == sorted(moved.doc_id)
+    # brute force: with equal shares, the bytes that must leave are what each old shard holds above its share
+    share = got["size"].sum() / 5
+    assert abs(plan.least_bytes - sum(max(0, b - share) for b in got.groupby("was")["size"].sum())) <= 5
+
+
+def test_op7_repeated_ids_are_one_row_of_the_sample(spark):
+    rows = [(k, f"word{k % 7} {'vile' if k % 2 else 'kind'} text", k % 2) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    many = df.unionByName(spark.createDataFrame([(1, f"zzz other text {k}", 1) for k in range(500)], df.schema))
+    a, b = toxicity.train(df, df), toxicity.train(many, df)
+    assert a.column == b.column and a.limit == b.limit

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from netloom.config import FlowParams, ProfileParams, SeriesParams
 from netloom.functions import exprs
 from netloom.operators import counters, enrichment, flows, host_profiles, netflow, network_series, sflow
-from netloom.schemas import FLOW_COLUMNS, HOST_COLUMNS, SERIES_COLUMNS
+from netloom.schemas import DEVICE_COLUMNS, FLOW_COLUMNS, HOST_COLUMNS, INTERFACE_COLUMNS, SERIES_COLUMNS
 from netloom.sources import adapters, decode, pcap, sinks, telemetry
 from netloom.streaming import carry, jobs
 from netloom.streaming import flows as flows_stream
@@ -302,6 +302,23 @@ def network_lookup(spark, sf_dir):
     return enrichment.with_networks(adapters.order_flows(spark, sf_dir).select("dst_ip").distinct(), ranges)
 
 
+@query("network_lookup_v6", """
+WITH a AS (SELECT event_id, event_id * 7919 % 900 AS g, '2a00:' || format('{:x}', event_id * 7919 % 900) || '::' || format('{:x}', event_id % 65536 + 1) AS dst_ip FROM events)
+SELECT dst_ip, coalesce('AS' || (64000 + s_suppkey), '') AS dst_asn, coalesce(s_name, '') AS dst_asn_org, CASE WHEN s_suppkey IS NULL THEN '' ELSE 'N' || s_nationkey END AS dst_country
+FROM (SELECT DISTINCT g, dst_ip FROM a) LEFT JOIN supplier ON s_suppkey * 3 = g
+""")
+def network_lookup_v6(spark, sf_dir):
+    """IPv6 addresses against ranges of /32, every third of which belongs to a supplier."""
+    g = F.pmod(F.col("event_id") * 7919, F.lit(900))
+    ip = F.concat(F.lit("2a00:"), F.lower(F.hex(g)), F.lit("::"), F.lower(F.hex(F.col("event_id") % 65536 + 1)))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(ip.alias("dst_ip")).distinct()
+    start = F.concat(F.lit("2a00"), F.lpad(F.lower(F.hex(F.col("s_suppkey") * 3)), 4, "0"))
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").where("s_suppkey * 3 < 65536")
+    ranges = suppliers.select(F.rpad(start, 32, "0").alias("start"), F.rpad(start, 32, "f").alias("end"), (F.col("s_suppkey") + 64000).alias("asn"), F.col("s_name").alias("org"), F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("country"))
+    none = ranges.where("false").select(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"), "asn", "org", "country")
+    return enrichment.with_networks(rows, none, ranges_v6=ranges)
+
+
 # -- counters ---------------------------------------------------------------
 
 def _interface_samples(spark, sf_dir):
@@ -340,17 +357,48 @@ def counter_deltas(spark, sf_dir):
     return counters.counter_deltas(_interface_samples(spark, sf_dir)).select("device", "if_index", "arrival", "in_octets_delta", "out_octets_delta", "in_packets_delta", "in_errors_delta", "interval_s", "first_sample", "counter_reset")
 
 
-@query("interface_rows", f"WITH {_COUNTER_SQL} SELECT device, if_index, epoch, CAST(iod AS BIGINT) AS in_octets_delta, nullif(interval_s, 0) AS interval_s, ir AS in_bytes_per_s, CASE WHEN speed > 0 THEN round(100.0 * ir / (speed / 8), 3) END AS utilisation_in_pct, CASE WHEN speed > 0 THEN round(100.0 * orr / (speed / 8), 3) END AS utilisation_out_pct, reset AS counter_reset FROM c3")
+_TIME = "strftime(make_timestamp(CAST(epoch * 1000000 AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ')"
+_BIG = "CAST({} AS BIGINT)"
+_INTERFACE = {
+    "timestamp": _TIME, "if_alias": "CAST(NULL AS VARCHAR)", "admin_status": "CAST(NULL AS VARCHAR)", "oper_status": "oper", "speed_bps": _BIG.format("speed"),
+    "in_octets": "io", "out_octets": _BIG.format("oo"), "in_packets": "ip", "in_errors": "ie", **{c: _BIG.format("NULL") for c in ("out_packets", "out_errors", "in_discards", "out_discards")},
+    "interval_s": "nullif(interval_s, 0)", "in_octets_delta": _BIG.format("iod"), "out_octets_delta": _BIG.format("ood"), "in_bytes_per_s": "ir", "out_bytes_per_s": "orr",
+    **{f"utilisation_{d}_pct": f"CASE WHEN speed > 0 THEN round(100.0 * {r} / (speed / 8), 3) END" for d, r in (("in", "ir"), ("out", "orr"))}, "counter_reset": "reset",
+}
+
+
+@query("interface_rows", f"WITH {_COUNTER_SQL} SELECT {', '.join(f'{_INTERFACE[c]} AS {c}' if c in _INTERFACE else c for c in INTERFACE_COLUMNS)} FROM c3")
 def interface_rows(spark, sf_dir):
-    return counters.interface_rows(counters.counter_deltas(_interface_samples(spark, sf_dir))).select("device", "if_index", "epoch", "in_octets_delta", "interval_s", "in_bytes_per_s", "utilisation_in_pct", "utilisation_out_pct", "counter_reset")
+    return counters.interface_rows(counters.counter_deltas(_interface_samples(spark, sf_dir)))
+
+
+_HERE = lambda x: f"CASE WHEN reachable THEN {x} END"
+_RATED = lambda x: f"CASE WHEN reachable AND rated > 0 THEN {x} END"
+_DEVICE = {
+    "timestamp": _TIME, "driver": "'snmp'", "reachable": "CAST(reachable AS INTEGER)", "poll_ms": "round(epoch % 1000, 1)", "error": "CASE WHEN NOT reachable THEN 'timeout' END",
+    "interfaces_total": _HERE("n"), "interfaces_up": _HERE("up"), "interfaces_down": _HERE("n - up"), "in_bytes_per_s": _RATED("round(coalesce(ir, 0), 3)"), "out_bytes_per_s": _RATED("round(coalesce(orr, 0), 3)"),
+    "in_packets_per_s": "CASE WHEN reachable AND longest > 0 THEN round(ipd / longest, 3) END", "out_packets_per_s": "CASE WHEN reachable AND longest > 0 THEN 0.0 END",
+    "in_errors_delta": _BIG.format(_RATED("ied")), **{c: _BIG.format(_RATED("0")) for c in ("out_errors_delta", "in_discards_delta", "out_discards_delta")}, "counter_resets": _BIG.format(_HERE("resets")),
+    "arp_entries": _HERE("CAST(epoch AS BIGINT) % 50"), "mac_entries": _HERE("CAST(epoch AS BIGINT) % 70"), "route_entries": _BIG.format("NULL"), "cpu_percent": _HERE("round(epoch % 100, 2)"), "memory_percent": "CAST(NULL AS DOUBLE)",
+    "uptime_s": _HERE("round(epoch, 1)"), "system_name": _HERE("device"), "system_description": "CAST(NULL AS VARCHAR)",
+}
 
 
-@query("device_rollup", f"WITH {_COUNTER_SQL}, p AS (SELECT device, epoch, epoch % 3 <> 0 AS reachable FROM c0 GROUP BY ALL), s AS (SELECT device, epoch, count(*) AS n, count(*) FILTER (oper = 'up') AS up, max(interval_s) AS longest, count(*) FILTER (interval_s > 0) AS rated, sum(reset) AS resets, sum(ir) AS ir, sum(orr) AS orr, coalesce(sum(ipd), 0) AS ipd, coalesce(sum(ied), 0) AS ied FROM c3 GROUP BY ALL) SELECT device, epoch, CAST(reachable AS INTEGER) AS reachable, CASE WHEN reachable THEN n END AS interfaces_total, CASE WHEN reachable THEN n - up END AS interfaces_down, CASE WHEN reachable AND rated > 0 THEN round(coalesce(ir, 0), 3) END AS in_bytes_per_s, CASE WHEN reachable AND rated > 0 THEN round(coalesce(orr, 0), 3) END AS out_bytes_per_s, CASE WHEN reachable AND longest > 0 THEN round(ipd / longest, 3) END AS in_packets_per_s, CAST(CASE WHEN reachable AND rated > 0 THEN ied END AS BIGINT) AS in_errors_delta, CAST(CASE WHEN reachable THEN resets END AS BIGINT) AS counter_resets FROM p JOIN s USING (device, epoch)")
+@query("device_rollup", f"""
+WITH {_COUNTER_SQL}, p AS (SELECT device, epoch, epoch % 3 <> 0 AS reachable FROM c0 GROUP BY ALL), s AS (
+  SELECT device, epoch, count(*) AS n, count(*) FILTER (oper = 'up') AS up, max(interval_s) AS longest, count(*) FILTER (interval_s > 0) AS rated, sum(reset) AS resets, sum(ir) AS ir, sum(orr) AS orr, coalesce(sum(ipd), 0) AS ipd, coalesce(sum(ied), 0) AS ied FROM c3 GROUP BY ALL
+)
+SELECT {', '.join(f'{_DEVICE[c]} AS {c}' if c in _DEVICE else c for c in DEVICE_COLUMNS)} FROM p JOIN s USING (device, epoch)
+""")
 def device_rollup(spark, sf_dir):
     samples = _interface_samples(spark, sf_dir)
     polls = samples.groupBy("device", "epoch").agg((F.pmod(F.first("epoch"), F.lit(3)) != 0).alias("reachable"))
-    rows = counters.device_rows(polls, counters.counter_deltas(samples))
-    return rows.select("device", "epoch", "reachable", "interfaces_total", "interfaces_down", "in_bytes_per_s", "out_bytes_per_s", "in_packets_per_s", "in_errors_delta", "counter_resets")
+    epoch = F.col("epoch").cast("long")
+    polls = polls.withColumns({
+        "driver": F.lit("snmp"), "poll_ms": F.col("epoch") % 1000, "error": F.when(~F.col("reachable"), "timeout"), "arp_entries": epoch % 50, "mac_entries": epoch % 70,
+        "cpu_percent": F.col("epoch") % 100, "uptime_s": F.col("epoch"), "system_name": F.col("device"),
+    })
+    return counters.device_rows(polls, counters.counter_deltas(samples))
 
 
 # -- exports and captures ---------------------------------------------------
@@ -451,16 +499,15 @@ def decode_frames(spark, sf_dir):
     return decode.decode_frames(_frames(spark, sf_dir)).drop("capture_file")
 
 
-@query("capture_info", f"WITH {adapters.packets_sql()} SELECT capture_file, count(*) AS packets, CAST(sum(payload_len + CASE WHEN proto = 6 THEN 54 ELSE 42 END) AS BIGINT) AS bytes, first(ts_us ORDER BY pkt_seq) AS first_us, last(ts_us ORDER BY pkt_seq) AS last_us FROM packets GROUP BY capture_file")
+@query("capture_info", f"WITH {adapters.packets_sql()} SELECT capture_file, count(*) AS packets, CAST(sum(payload_len + CASE WHEN proto = 6 THEN 54 ELSE 42 END) AS BIGINT) AS bytes, first(ts_us ORDER BY pkt_seq) AS first_us, last(ts_us ORDER BY pkt_seq) AS last_us, [CAST(1 AS INTEGER)] AS linktypes FROM packets GROUP BY capture_file")
 def capture_info(spark, sf_dir):
-    return pcap.capture_info(_frames(spark, sf_dir)).drop("linktypes")
+    return pcap.capture_info(_frames(spark, sf_dir))
 
 
 @query("byte_entropy", "WITH b AS (SELECT page_id, hex(encode(html)) AS h FROM pages), c AS (SELECT page_id, x, count(*) AS c FROM (SELECT page_id, substr(h, 2 * i + 1, 2) AS x FROM b, unnest(range(length(h) // 2)) AS u(i)) GROUP BY ALL) SELECT page_id, round(greatest(0, log2(sum(c)) - sum(c * log2(c)) / sum(c)), 6) AS entropy FROM c GROUP BY page_id")
 def byte_entropy(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.encode("html", "utf-8").alias("data"))
-    entropy = F.udf(decode.byte_entropy, "double", useArrow=True)
-    return pages.select("page_id", F.round(entropy("data"), 6).alias("entropy"))
+    return decode.with_byte_entropy(pages, "data").select("page_id", F.round("entropy", 6).alias("entropy"))
 
 
 # -- telemetry parsers ------------------------------------------------------

@@ -1,4 +1,11 @@
-"""``python -m netloom process PATH OUT``: captures to flow rows, host profiles and the series; ``info PATH``: what captures hold."""
+"""Captures on the command line.
+
+``process PATH OUT``   flow rows, host profiles and the series
+``run PATH OUT``       the same from captures as they land, until stopped
+``decode PATH``        the first packets
+``info PATH``          what each capture holds
+``retain PATH BYTES``  delete the oldest files beyond a size
+"""
 
 from __future__ import annotations
 
@@ -8,25 +15,46 @@ from pyspark.sql import SparkSession
 
 from netloom.config import OFFLINE
 from netloom.plans.process import process_captures
-from netloom.sources.pcap import capture_info, read_captures
-from netloom.sources.sinks import write_csv
+from netloom.sources.decode import decode_frames
+from netloom.sources.pcap import capture_files, capture_reports, read_captures
+from netloom.sources.sinks import apply_retention, write_csv
+from netloom.streaming.jobs import run_capture_flows
 
 
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="netloom", description=__doc__)
+    parser = argparse.ArgumentParser(prog="netloom", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     commands = parser.add_subparsers(dest="command", required=True)
     process = commands.add_parser("process")
     process.add_argument("path")
     process.add_argument("out")
     process.add_argument("--csv", action="store_true", help="write CSV beside Parquet")
+    run = commands.add_parser("run")
+    run.add_argument("path")
+    run.add_argument("out")
+    run.add_argument("--once", action="store_true", help="stop when all that has landed is done")
+    decode = commands.add_parser("decode")
+    decode.add_argument("path")
+    decode.add_argument("--packets", type=int, default=20)
     info = commands.add_parser("info")
     info.add_argument("path")
+    retain = commands.add_parser("retain")
+    retain.add_argument("path")
+    retain.add_argument("bytes", type=int)
     options = parser.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if options.command == "info":
-        capture_info(read_captures(spark, options.path)).show(truncate=False)
+        capture_reports(capture_files(spark, options.path)).show(truncate=False)
+        return
+    if options.command == "decode":
+        decode_frames(read_captures(spark, options.path)).limit(options.packets).show(options.packets, truncate=False)
+        return
+    if options.command == "retain":
+        print(apply_retention(spark, options.path, options.bytes), "files deleted")
         return
     flow, profile, series = OFFLINE
+    if options.command == "run":
+        run_capture_flows(spark, options.path, options.out, f"{options.out}/_checkpoint", params=flow, available_now=options.once, profile=profile, series=series).awaitTermination()
+        return
     tables = process_captures(spark, options.path, flow=flow, profile=profile, series=series, flows_path=f"{options.out}/flows")
     for name in ("profiles", "series"):
         getattr(tables, name).write.mode("overwrite").parquet(f"{options.out}/{name}")

@@ -195,3 +195,8 @@ def entropy(count: Column) -> Column:
     total = F.sum(c)
     bits = F.log2(total) - F.sum(c * F.log2(c)) / total
     return F.coalesce(F.round(F.greatest(bits, F.lit(0.0)), 6), F.lit(0.0)) + F.lit(0.0)
+
+
+def sample_variance(x: Column) -> Column:
+    """Variance with n - 1 as denominator, as an aggregate; 0 for fewer than two values."""
+    return F.coalesce(F.nanvl(F.var_samp(x), F.lit(0.0)), F.lit(0.0))

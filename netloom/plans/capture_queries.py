@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netloom.operators import netflow, sflow
-from netloom.plans.queries import _frames, _hex, _ip_hex, _unhex, query
+from netloom import observe
+from netloom.config import FlowParams
+from netloom.functions.exprs import sample_variance as sample_variance_of
+from netloom.operators import flows, netflow, sflow
+from netloom.plans import process
+from netloom.plans.queries import CUT_FLOWS_SQL, CUTS, _EXPORT_SQL, _frames, _hex, _ip_hex, _unhex, _v9_datagrams, query
 from netloom.sources import adapters, decode, pcap, sinks, write_capture
-from netloom.storage import scratch
+from netloom.storage import materialize, scratch
+from netloom.streaming import carry, jobs
 
 # -- link layers and network headers ----------------------------------------
 
@@ -170,6 +175,68 @@ def capture_reports(spark, sf_dir):
     return r.select("capture_file", "format", "packets", "bytes", "first_us", "last_us", "truncated", F.col("error").isNotNull().alias("bad"))
 
 
+@query("extraction_results", _FILES_SQL + f"""
+, u AS (SELECT *, least(src_ip || ':' || src_port, dst_ip || ':' || dst_port) AS lo, greatest(src_ip || ':' || src_port, dst_ip || ':' || dst_port) AS hi FROM g WHERE NOT broken AND NOT lost), fl AS (
+  SELECT file, count(*) FILTER (n >= 2) AS flows, count(*) FILTER (n < 2) AS dropped FROM (SELECT file, lo, hi, proto, count(*) AS n FROM u GROUP BY ALL) GROUP BY file
+), fs AS (SELECT file, count(*) FILTER (NOT broken AND NOT lost) AS packets, bool_or(NOT broken AND lost) AS truncated, bool_or(broken) AS bad FROM g GROUP BY file)
+SELECT 'file' || file AS capture_file, packets, truncated, bad, CAST(0 AS BIGINT) AS skipped, CASE WHEN packets > 0 THEN 1.0 ELSE 0.0 END AS decode_rate, coalesce(flows, 0) AS flows, coalesce(dropped, 0) AS dropped, CAST(0 AS BIGINT) AS teardown FROM fs LEFT JOIN fl USING (file)
+""")
+def extraction_results(spark, sf_dir):
+    """One row per capture file: read, decoded, assembled (no timeouts, flows of two packets or more)."""
+    params = FlowParams(active_timeout_s=1e9, max_packets_per_flow=0, close_on_teardown=False, idle_mode="none", min_packets_per_flow=2)
+    rows = process.extraction_results(materialize(_capture_files(spark, sf_dir), "captures"), params)
+    return rows.select("capture_file", "packets", "truncated", F.col("error").isNotNull().alias("bad"), "skipped", "decode_rate", "flows", "dropped", "teardown")
+
+
+def _listing(spark, sf_dir) -> DataFrame:
+    e = adapters.events(spark, sf_dir)
+    ending = _chosen([".pcap", ".pcapng", ".txt", ".pcap.part", ".pcap.gz"], F.col("event_id") % 5)
+    hidden = F.when(F.col("event_id") % 7 == 0, ".").otherwise("")
+    return e.select(F.concat(F.lit("/in/"), hidden, F.lit("c"), F.col("event_id").cast("string"), ending).alias("path"), F.floor("value").alias("length"), F.timestamp_micros("us").alias("modificationTime"))
+
+
+_LISTING_SQL = """
+WITH l AS (SELECT event_id, '/in/' || CASE WHEN event_id % 7 = 0 THEN '.' ELSE '' END || 'c' || event_id || list_extract(['.pcap', '.pcapng', '.txt', '.pcap.part', '.pcap.gz'], CAST(event_id % 5 AS INTEGER) + 1) AS path, CAST(floor(value) AS BIGINT) AS length, epoch_us(ts) AS us FROM events)"""
+
+
+@query("stable_files", _LISTING_SQL + " SELECT path, length FROM l WHERE event_id % 7 <> 0 AND event_id % 5 IN (0, 1, 4) AND length > 0 AND us <= (SELECT max(us) FROM l) - 86400000000")
+def stable_files(spark, sf_dir):
+    """Of files with different endings, hidden and empty ones too, those unchanged for a day."""
+    files = _listing(spark, sf_dir)
+    now = files.agg(F.max("modificationTime")).first()[0]
+    return pcap.stable_files(files, F.lit(now), 86_400).select("path", "length")
+
+
+@query("unseen_files", _LISTING_SQL + " SELECT path, length FROM l WHERE event_id % 4 <> 0 OR event_id % 8 = 4")
+def unseen_files(spark, sf_dir):
+    """Every fourth file was processed, but every second of these has other content now."""
+    files, number = _listing(spark, sf_dir), F.regexp_extract("path", r"c(\d+)", 1).cast("long")
+    seen = files.where(number % 4 == 0).withColumn("length", F.when(number % 8 == 4, F.col("length") + 1).otherwise(F.col("length")))
+    return jobs.unseen(files, seen).select("path", "length")
+
+
+@query("observed_counts", f"WITH {adapters.packets_sql()} SELECT count(*) AS rows, count(*) FILTER (proto = 6) AS tcp, count(*) FILTER (payload_len = 0) AS empty FROM packets")
+def observed_counts(spark, sf_dir):
+    """What is counted while packets pass to a sink."""
+    rows, seen = observe.counted(adapters.packets(spark, sf_dir), "packets", tcp=F.col("proto") == 6, empty=F.col("payload_len") == 0)
+    rows.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([seen.get])
+
+
+@query("sample_variance", "SELECT user_id, count(*) AS n, round(coalesce(var_samp(floor(value)), 0), 4) AS variance FROM events GROUP BY user_id")
+def sample_variance(spark, sf_dir):
+    return adapters.events(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.round(sample_variance_of(F.floor("value")), 4).alias("variance"))
+
+
+_BY_REASON = ", ".join(f"count(*) FILTER (total_packets >= 2 AND expiry_reason = '{r}') AS {r.replace('-', '_')}" for r in flows.REASONS)
+
+
+@query("flow_statistics", f"WITH RECURSIVE {CUT_FLOWS_SQL} SELECT capture_file, count(*) FILTER (total_packets >= 2) AS flows, count(*) FILTER (total_packets < 2) AS dropped, CAST(sum(total_packets) AS BIGINT) AS packets, {_BY_REASON} FROM flows GROUP BY capture_file")
+def flow_statistics(spark, sf_dir):
+    params = FlowParams(CUTS.active_timeout_s, CUTS.idle_timeout_s, max_packets_per_flow=CUTS.max_packets_per_flow, min_packets_per_flow=2)
+    return flows.flow_statistics(adapters.packets(spark, sf_dir, jitter=True), params)
+
+
 # -- datagrams --------------------------------------------------------------------
 
 _IPFIX = [(8, 4), (12, 4), (7, 2), (11, 2), (4, 1), (6, 2), (1, 8), (2, 8), (152, 8), (153, 8), (34, 4)]
@@ -191,6 +258,13 @@ def ipfix(spark, sf_dir):
     return rows.select(F.col("exporter").cast("long").alias("pkt_seq"), "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "tcp_flags", "bytes", "packets", "duration_s", "version", "observation_domain")
 
 
+@query("streaming_exports", _EXPORT_SQL + "CAST(pkt_seq % 90 + 1 AS BIGINT) AS packets, round((pkt_seq % 7000) / 1000.0, 3) AS duration_s FROM packets")
+def streaming_exports(spark, sf_dir):
+    """Landed version 9 datagrams as a stream."""
+    made = jobs.replay(_v9_datagrams(spark, sf_dir), lambda d: lambda out, state: carry.run_exports(d, out, state, available_now=True), order="recv_us", batches=3)
+    return made.select(F.col("exporter").cast("long").alias("pkt_seq"), "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "protocol_name", "tcp_flags", "bytes", "packets", "duration_s")
+
+
 @query("export_errors", """
 SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'too short' WHEN 1 THEN 'unsupported version 1' WHEN 2 THEN 'unsupported version 8' WHEN 3 THEN 'unknown version 77' END AS reason FROM events WHERE event_id % 6 < 4
 """)

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netloom.config import FlowParams, ProfileParams, SeriesParams
 from netloom.operators.enrichment import enricher
-from netloom.operators.flows import assemble_flows
+from netloom.operators.flows import assemble_flows, flow_statistics
 from netloom.operators.host_profiles import host_profiles
 from netloom.operators.network_series import network_series
-from netloom.sources.decode import decode_frames
-from netloom.sources.pcap import read_captures
+from netloom.sources.decode import decode_frames, decode_report
+from netloom.sources.pcap import capture_reports, read_captures, split_captures
 from netloom.storage import materialize
 
 
@@ -41,3 +41,15 @@ def process(packets: DataFrame, flow: FlowParams = FlowParams(), profile: Profil
 def process_captures(spark: SparkSession, path: str, **options) -> Tables:
     """The tables of all captures under ``path``."""
     return process(decode_frames(read_captures(spark, path)), **options)
+
+
+def extraction_results(files: DataFrame, flow: FlowParams = FlowParams()) -> DataFrame:
+    """One row per capture of (path, content), bad ones too: what was read, decoded and assembled.
+
+    Columns: those of ``capture_reports``, then skipped (frames without an IP packet), decode_rate, and those of ``flow_statistics``.
+    """
+    frames = split_captures(files)
+    report = decode_report(frames).select("capture_file", "skipped", "decode_rate")
+    flows = flow_statistics(decode_frames(frames), flow).withColumnRenamed("packets", "flow_packets")
+    rows = capture_reports(files).join(report, "capture_file", "left").join(flows, "capture_file", "left")
+    return rows.fillna(0, ["skipped", "decode_rate", *flows.columns[1:]])

@@ -431,8 +431,7 @@ def netflow_v5(spark, sf_dir):
 V9_FIELDS = [(8, 4), (12, 4), (7, 2), (11, 2), (4, 1), (6, 1), (1, 4), (2, 4), (22, 4), (21, 4), (34, 4)]
 
 
-@query("netflow_v9", _EXPORT_SQL + "CAST(pkt_seq % 90 + 1 AS BIGINT) AS packets, round((pkt_seq % 7000) / 1000.0, 3) AS duration_s, CASE WHEN pkt_seq % 5 = 0 THEN 1 ELSE pkt_seq % 5 END AS sampling_rate FROM packets")
-def netflow_v9(spark, sf_dir):
+def _v9_datagrams(spark, sf_dir):
     """Each datagram brings its template and one record."""
     p = adapters.packets(spark, sf_dir)
     seq = F.col("pkt_seq")
@@ -440,7 +439,12 @@ def netflow_v9(spark, sf_dir):
     record = [_ip_hex(F.col("src_ip")), _ip_hex(F.col("dst_ip")), _hex(F.col("src_port"), 2), _hex(F.col("dst_port"), 2), _hex(F.col("proto"), 1), _hex(F.col("tcp_flags"), 1), _hex(F.col("frame_len"), 4), _hex(seq % 90 + 1, 4), _hex(1000, 4), _hex(seq % 7000 + 1000, 4), _hex(seq % 5, 4)]
     size = 4 + sum(f[1] for f in V9_FIELDS)
     payload = [_hex(9, 2), _hex(2, 2), _hex(100_000, 4), _hex(1_704_067_200, 4), _hex(0, 4), _hex(7, 4), _hex(0, 2), _hex(8 + 4 * len(V9_FIELDS), 2), *template, _hex(256, 2), _hex(size + -size % 4, 2), *record, F.lit("00" * (-size % 4))]
-    rows = netflow.flow_exports(p.select(F.col("ts_us").alias("recv_us"), F.col("pkt_seq").cast("string").alias("exporter"), _unhex(*payload).alias("payload")))
+    return p.select(F.col("ts_us").alias("recv_us"), F.col("pkt_seq").cast("string").alias("exporter"), _unhex(*payload).alias("payload"))
+
+
+@query("netflow_v9", _EXPORT_SQL + "CAST(pkt_seq % 90 + 1 AS BIGINT) AS packets, round((pkt_seq % 7000) / 1000.0, 3) AS duration_s, CASE WHEN pkt_seq % 5 = 0 THEN 1 ELSE pkt_seq % 5 END AS sampling_rate FROM packets")
+def netflow_v9(spark, sf_dir):
+    rows = netflow.flow_exports(_v9_datagrams(spark, sf_dir))
     return rows.select(F.col("exporter").cast("long").alias("pkt_seq"), "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "protocol_name", "tcp_flags", "bytes", "packets", "duration_s", "sampling_rate")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,3 +84,19 @@ def retention(files: DataFrame, max_bytes: int, min_modified=None, protect: tupl
     held = files.withColumn("newer", F.expr("sum(length) OVER (ORDER BY modified DESC, path DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
     old = F.lit(False) if min_modified is None else F.col("modified") < min_modified
     return held.where(old | (F.col("newer") > max_bytes)).drop("newer")
+
+
+def apply_retention(spark: SparkSession, root: str, max_bytes: int, min_modified=None, protect: tuple[str, ...] = ()) -> int:
+    """Delete what :func:`retention` names under ``root``; returns how many files went.
+
+    A root that is no folder of its own (empty, the working folder, the root of a
+    store) is refused.  The listing is Spark's; deletions go one by one through the driver.
+    """
+    if root.strip().rstrip("/\\") in ("", ".", "..") or re.fullmatch(r"[a-z0-9+.-]+:/*", root):
+        raise ValueError(f"not a folder to clean: {root!r}")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+    jvm, gone = spark.sparkContext._jvm, 0
+    for row in retention(listing, max_bytes, min_modified, protect).select("path").toLocalIterator():
+        where = jvm.org.apache.hadoop.fs.Path(row["path"])
+        gone += bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, False))
+    return gone

@@ -15,28 +15,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netloom.operators.counters import counter_deltas
-from netloom.operators.netflow import with_template
+from netloom.operators.netflow import data_records, export_sets, normalized, with_template
 from netloom.streaming.jobs import batch_folder
 
 SEEN = "carried"
 
 
-def run_carried(stream: DataFrame, job: Callable[[DataFrame], DataFrame], keys: list[str], order: list[str], out: str, checkpoint: str, leaves: str = "true", available_now: bool = False):
+def run_carried(stream: DataFrame, job: Callable[[DataFrame], DataFrame], keys: list[str], order: list[str], out: str, checkpoint: str, leaves: str = "true", available_now: bool = False, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows):
     """Start ``job`` over a stream.
 
-    ``job`` gets rows with a column ``carried`` and keeps it; rows with it set come
-    from before and are not given again.  Of the rows where ``leaves`` holds, the
-    last of each key in ``order`` is carried on.
+    ``job`` gets rows with a column ``carried``; rows with it set come from before.
+    What it gives with ``carried`` set is left out; a job whose results cannot come
+    from such rows may drop the column.  Of the rows where ``leaves`` holds, the
+    last of each key in ``order`` is carried on.  ``prepare`` is applied to each micro-batch first.
     """
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.withColumn(SEEN, F.lit(False))
+        fresh = prepare(batch).withColumn(SEEN, F.lit(False))
         schema = fresh.schema
         both = fresh
         if number > 0:
             both = fresh.unionByName(spark.read.schema(schema).parquet(batch_folder(f"{out}_carried", number - 1)).withColumn(SEEN, F.lit(True)))
-        job(both).where(~F.col(SEEN)).drop(SEEN).write.mode("overwrite").parquet(batch_folder(out, number))
+        made = job(both)
+        made = made.where(~F.col(SEEN)).drop(SEEN) if SEEN in made.columns else made
+        made.write.mode("overwrite").parquet(batch_folder(out, number))
         last = both.where(leaves).groupBy(*keys).agg(F.max_by(F.struct(*both.columns), F.struct(*order)).alias("last"))
         last.select("last.*").write.mode("overwrite").parquet(batch_folder(f"{out}_carried", number))
 
@@ -50,6 +53,16 @@ def run_templates(sets: DataFrame, out: str, checkpoint: str, ttl_s: int = 3600,
     return run_carried(sets, lambda rows: with_template(rows, ttl_s), ["exporter", "domain", "template_id"], order, out, checkpoint, "fields IS NOT NULL", available_now)
 
 
+def run_exports(datagrams: DataFrame, out: str, checkpoint: str, ttl_s: int = 3600, available_now: bool = False):
+    """Flow records of a stream of landed v9 and IPFIX datagrams; data sets wait for no template, those without one give no record."""
+
+    def job(rows: DataFrame) -> DataFrame:
+        first = F.when(F.col(SEEN), F.lit(-1)).otherwise(F.col("arrival"))  # what was carried came before
+        return normalized(data_records(with_template(rows.withColumn("arrival", first), ttl_s)))
+
+    return run_carried(datagrams, job, ["exporter", "domain", "template_id"], ["recv_us", "arrival", "seq"], out, checkpoint, "fields IS NOT NULL", available_now, export_sets)
+
+
 def run_counters(samples: DataFrame, out: str, checkpoint: str, keys: tuple[str, ...] = ("device", "if_index", "if_name"), available_now: bool = False):
     """Deltas of a stream of interface samples (see ``counter_deltas``); samples of a key come in order of time."""
     return run_carried(samples, lambda rows: counter_deltas(rows, keys), list(keys), ["epoch", "arrival"], out, checkpoint, available_now=available_now)

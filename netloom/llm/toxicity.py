@@ -120,13 +120,26 @@ class Chain:
         return out
 
 
+#: Features of fewer documents of the sample are not used.
+RARE = 5
+
+
 def _standing_out(flat: np.ndarray, owner: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature numbers, the place of each entry of ``flat`` among them, and how far their rate of ``y`` is from the base rate, in standard deviations; rare ones are left out (0)."""
-    numbers, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
-    hits = np.bincount(inverse, y[owner], len(numbers)) if len(flat) else np.zeros(0)
+    """Feature numbers, the place of each entry of ``flat`` among them, and how far their rate of ``y`` is from the base rate, in standard deviations; rare ones are left out (0).
+
+    Numbers are below ``BUCKETS``, so tables of that size take the place of sorting, which needs more memory.
+    """
+    seen = np.zeros(BUCKETS, np.int32)
+    np.add.at(seen, flat, 1)
+    numbers = np.flatnonzero(seen)
+    count = seen[numbers].astype(float)
+    seen[numbers] = np.arange(len(numbers))
+    inverse = seen[flat]
+    hits = np.zeros(len(numbers))
+    np.add.at(hits, inverse[y[owner] > 0], 1)
     base = y.mean() if len(y) else 0.0
     score = (hits - count * base) / np.sqrt(count * max(base * (1 - base), 1e-9) + 1e-9)
-    score[count < 5] = 0
+    score[count < RARE] = 0
     return numbers, inverse, score
 
 
@@ -176,8 +189,8 @@ def fit_chain(flat: np.ndarray, owner: np.ndarray, labels: dict[str, np.ndarray]
     chosen = chosen[score[chosen] > 3]
     place = np.full(len(numbers), -1)
     place[chosen] = np.arange(len(chosen))
-    keep = place[inverse] >= 0 if len(flat) else np.zeros(0, bool)
-    rows, columns, width = owner[keep], place[inverse][keep] if len(flat) else flat, len(chosen)
+    keep = place[inverse] >= 0
+    rows, columns, width = owner[keep].astype(np.int64), place[inverse[keep]], len(chosen)
     fold = np.arange(n) % sample.folds
     models, before = [], np.zeros((n, 0))
     for label in labels.values():
@@ -237,9 +250,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), groups:
     at = np.array(sorted(once.values()), np.int64)
     place = np.full(len(lists), -1)
     place[at] = np.arange(len(at))
-    owner = np.repeat(place, np.diff(bounds))
+    owner = np.repeat(place.astype(np.int32), np.diff(bounds))
     flat, owner = flat[owner >= 0], owner[owner >= 0]
+    often = np.zeros(BUCKETS, np.int32)
+    np.add.at(often, flat, 1)
+    use = often[flat] >= RARE
+    flat, owner = flat[use], owner[use]
     toxic = label[at]
+    del table, lists, often, use
     chain_labels = toxic_groups(flat, owner, toxic, groups) | {"toxic": toxic}
     return fit_chain(flat, owner, chain_labels, sample)
 

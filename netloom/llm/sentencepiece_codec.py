@@ -34,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netloom.llm.common import local_files, texts_of
+from netloom.llm.common import local_files, texts_of, worker_cache
 from netloom.llm.words import SegmentTable
 
 SPACE = "▁"
 #: Stand-ins that no UTF-8 text has: the piece space, and the border of two segments.
 SPACE_BYTE, BORDER = 0xFE, 0xFF
 #: Characters of text that are matched together, and bytes of distinct segments in one suffix array.
-BATCH_CHARS, ARRAY_BYTES = 4_000_000, 300_000
+BATCH_CHARS, ARRAY_BYTES = 2_000_000, 200_000
 #: Bytes between the windows of a long segment; a power of two fits runs of one sign, whose pieces have such lengths.
 STEP = 64
 #: The longest window: two steps, and what leads to the start of a character.
@@ -406,8 +406,8 @@ def decode(ids, pieces: Pieces) -> str:
 
 
 def encoder(pieces: Pieces) -> SegmentTable:
-    """Encodes blocks of texts with a vocabulary; each block by itself."""
-    return SegmentTable(split_segments, lambda s: encode_segments(s, pieces), limit=0, block_chars=BATCH_CHARS)
+    """Encodes blocks of texts with a vocabulary; each block by itself.  A worker that holds it drops the tables of past operators."""
+    return worker_cache(("sentencepiece", pieces.key), lambda: SegmentTable(split_segments, lambda s: encode_segments(s, pieces), limit=0, block_chars=BATCH_CHARS))
 
 
 def encode_documents(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

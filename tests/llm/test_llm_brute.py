@@ -467,3 +467,69 @@ def test_op7_repeated_ids_are_one_row_of_the_sample(spark):
     many = df.unionByName(spark.createDataFrame([(1, f"zzz other text {k}", 1) for k in range(500)], df.schema))
     a, b = toxicity.train(df, df), toxicity.train(many, df)
     assert a.column == b.column and a.limit == b.limit
+
+
+def test_op2_recall_at_larger_scale(spark):
+    """Every row whose id is divisible by 20 against all rows, by an index of all shingles: no link is missing."""
+    large = "/root/testdata/sf0.1"
+    texts = dict(duckdb.sql(f"select doc_id, text from '{large}/documents.parquet'").fetchall())
+    sets, held = {}, {}
+    for i, t in texts.items():
+        s = sets[i] = shingles(t)
+        if s and s not in held:
+            held[s] = len(held)
+    places: dict = {}
+    for s, number in held.items():
+        for x in s:
+            places.setdefault(x, []).append(number)
+    sizes = [len(s) for s in held]
+    want = {}
+    for i in texts:
+        if i % 20 == 0:
+            common = Counter(n for x in sets[i] for n in places[x])
+            own = held.get(sets[i])
+            want[i] = sum(n != own and c >= 0.8 * (len(sets[i]) + sizes[n] - c) for n, c in common.items())
+    got = {r["doc_id"]: r["n_links"] for r in queries.QUERIES["op2_ngram_join"](spark, large).where("doc_id % 20 = 0").collect()}
+    assert sum(want.values()) > 10 and got == want
+
+
+def test_op3_against_plain_python(spark):
+    """Buckets, ratios and noise from their definitions, with Python integers alone."""
+    import math
+
+    import xxhash
+
+    texts = {1: "The cat, the mat!", 2: "a dog ate the cat", 3: "", 4: None, 5: "the the THE 日本", 6: "a dog ate the cat"}
+    good, mask = {1, 5}, (1 << 64) - 1
+
+    def grams(text):
+        tokens = [xxhash.xxh64_intdigest(t) for t in re.findall(r"\w+|[^\w\s]+", (text or "").lower())]
+        pairs = [((a * 0x9E3779B97F4A7C15 & mask) ^ (b + 0x632BE59BD9B4E019 & mask)) * 0xBF58476D1CE4E5B9 & mask for a, b in zip(tokens, tokens[1:])]
+        return [x >> (64 - 14) for x in tokens + pairs]
+
+    raw, target = Counter(x for t in texts.values() for x in grams(t)), Counter(x for i in good for x in grams(texts[i]))
+    size = 1 << 14
+    log = lambda c, x: math.log((c[x] + 1) / (sum(c.values()) + size))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in importance.resample(df, F.col("doc_id").isin(*good), 0.5, seed=3).collect()}
+    keys = {}
+    for i, t in texts.items():
+        weight = sum(log(target, x) - log(raw, x) for x in grams(t))
+        u = (xxhash.xxh64_intdigest(f"{i}\0{t or ''}", 3) + 0.5) / 2**64
+        keys[i] = weight - math.log(-math.log(u))
+        assert got[i]["log_weight"] == pytest.approx(weight, abs=1e-9) and got[i]["key"] == pytest.approx(keys[i], abs=1e-9)
+    assert {i for i, r in got.items() if r["selected"]} == set(sorted(keys, key=keys.get)[-3:])
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Empty tables and rows with null ids and texts pass all stages."""
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, rows in (("empty", []), ("odd", [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (None, "five words are in here", "en", "b", 22), (3, "five words are in here", "en", "b", 22)])):
+        folder = tmp_path / name
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/documents.parquet")
+        for table, kinds in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+            spark.createDataFrame([], kinds).write.parquet(f"{folder}/{table}.parquet")
+        got = [(r["doc_id"], r["round_trip"]) for r in corpus_pipeline.run(spark, str(folder)).collect()]
+        assert got == [] if name == "empty" else sorted(map(str, got)) == sorted(map(str, [(1, True), (3, True)]))

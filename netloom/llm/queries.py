@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from netloom.llm import chat_format, decontamination, exact_dedup, importance, ngram_join, resharding, sentencepiece_codec, token_store, toxicity, url_filter
+from netloom.llm import chat_format, decontamination, exact_dedup, importance, lexical_search, ngram_join, resharding, sentencepiece_codec, token_store, toxicity, url_filter
 
 QUERIES = {
     "op1_reshard": resharding.op1_reshard,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
 }
 
 ORACLE_SQL = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op8_url_filter": url_filter.OP8_SQL,
     "op9_chat_format": chat_format.OP9_SQL,
+    "op13_lexical_search": lexical_search.OP13_SQL,
 }

@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from oracle import DATA, assert_same
 from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, decontamination, importance, ngram_join, queries, resharding, sentencepiece_codec, token_store, toxicity
+from netloom.llm import chat_format, decontamination, importance, lexical_search, ngram_join, queries, resharding, sentencepiece_codec, token_store, toxicity
 
 BIG = "/root/testdata/sf0.01"
 
@@ -533,3 +533,54 @@ def test_pipeline_on_odd_tables(spark, tmp_path):
             spark.createDataFrame([], kinds).write.parquet(f"{folder}/{table}.parquet")
         got = [(r["doc_id"], r["round_trip"]) for r in corpus_pipeline.run(spark, str(folder)).collect()]
         assert got == [] if name == "empty" else sorted(map(str, got)) == sorted(map(str, [(1, True), (3, True)]))
+
+
+def brute_search(texts, items, k):
+    """Scores from the definition, over all documents."""
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    bags = [(i, Counter(terms(t))) for i, t in texts if terms(t)]
+    n_docs, total = len(bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, text in items:
+        found = []
+        for i, bag in bags:
+            m = 100 - 25 + 25 * sum(bag.values()) * n_docs // total
+            score = sum(int(np.floor(1000 * np.log((2 * n_docs + 2) / (2 * df[t] + 1)))) * (1_000_000_000 * bag[t] // (1000 * bag[t] + 12 * m)) for t in terms(text) if t in bag)
+            if score > 0:
+                found.append((-score, i is None, i))
+        out += [(item, r + 1, i, -s) for r, (s, _, i) in enumerate(sorted(found, key=lambda x: (x[0], x[1], x[2] or 0))[:k])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("segment_bytes", "block_bytes"), [(16 << 20, 32 << 20), (3000, 400)])
+def test_op13(spark, segment_bytes, block_bytes):
+    """Small segments and blocks of queries, many equal scores, repeated rows and terms, terms in every document."""
+    rng = np.random.default_rng(5)
+    words = ["the", "of", "Straße", "x1", "naïve", "日本", *(f"w{k}" for k in range(60))]
+    texts = [(k, " ".join(rng.choice(words, rng.integers(1, 40), p=(p := 1 / np.arange(1, 67)) / p.sum()))) for k in range(300)]
+    texts += [(1000 + k, "the same w3, W3; copy") for k in range(70)] + [(5, "the x1"), (5, "the x1"), (None, "the x1 w3"), (7, None), (8, ""), (9, "!?")]
+    items = [(1, "the of W3 w3"), (2, "日本 Straße"), (2, "日本 Straße"), (3, None), (4, "absent"), (5, "copy same"), (None, "x1"), (6, "the"), (7, " ".join(words))]
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("score", F.lit(1)).repartition(3)
+    index = lexical_search.write_index(df, segment_bytes=segment_bytes)
+    got = lexical_search.search(spark, index, spark.createDataFrame(items, "item_id long, text string"), 20, block_bytes=block_bytes)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_search(texts, items, 20)
+
+
+def test_op13_stops_before_the_lists_end():
+    n = np.full(4000, 10)
+    tf = np.where(np.arange(4000) < 30, 9, 1)
+    segment = lexical_search._Segment(np.arange(4000), np.zeros(4000, bool), n, {0: (np.arange(4000), tf), 1: (np.arange(0, 4000, 2), tf[::2])}, 4000, 40000, 2)
+    looked, scores = [], segment.scores
+    segment.scores = lambda docs: looked.extend(docs) or scores(docs)
+    best = lexical_search._Best(5)
+    segment.search([0, 1], [3, 4], best)
+    assert best.doc.tolist() == [0, 2, 4, 6, 8] and len(looked) < 200
+
+
+def test_op13_empty(spark, docs):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    assert lexical_search.search(spark, lexical_search.write_index(none), items).count() == 0
+    index = lexical_search.write_index(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    assert lexical_search.search(spark, index, items.where("false")).count() == 0

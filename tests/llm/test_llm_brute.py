@@ -4,6 +4,7 @@ import json
 import re
 import zlib
 from collections import Counter
+from hashlib import sha256
 from itertools import combinations
 from types import SimpleNamespace
 
@@ -15,7 +16,7 @@ from hypothesis import strategies as st
 from oracle import DATA, assert_same
 from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, decontamination, importance, lexical_search, ngram_join, queries, resharding, sentencepiece_codec, token_store, toxicity
+from netloom.llm import centroids, chat_format, decontamination, importance, lexical_search, ngram_join, queries, resharding, sentencepiece_codec, token_store, toxicity
 
 BIG = "/root/testdata/sf0.01"
 
@@ -584,3 +585,45 @@ def test_op13_empty(spark, docs):
     assert lexical_search.search(spark, lexical_search.write_index(none), items).count() == 0
     index = lexical_search.write_index(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
     assert lexical_search.search(spark, index, items.where("false")).count() == 0
+
+
+@pytest.mark.parametrize(("k", "dims", "spread"), [(1, 3, 4), (7, 2, 3), (200, 8, 60), (64, 64, 1000)])
+def test_op12_annulus_finds_the_nearest(k, dims, spread):
+    """Small grids give many ties and centroids that are equal; each vector gets the smallest number among the nearest."""
+    rng = np.random.default_rng(k)
+    means, vectors = rng.integers(-spread, spread + 1, (k, dims)), rng.integers(-spread, spread + 1, (500, dims))
+    vectors[:k] = means[:500]
+    apart = ((vectors[:, None, :] - means[None]) ** 2).sum(2)
+    search = centroids.Annulus(means)
+    cluster, least = search.nearest(vectors)
+    assert cluster.tolist() == apart.argmin(1).tolist() and least.tolist() == apart.min(1).tolist()
+    assert k < 64 or search.compared < 500 * k
+
+
+def test_op12_rounds_and_odd_rows(spark):
+    """Plain Python rounds over a table with ties, copies, a hot vector and rows that are not kept."""
+    rng = np.random.default_rng(1)
+    rows = [(k, [float(x) for x in rng.integers(-3, 4, 4) / 2]) for k in range(200)] + [(300 + k, [0.5, 0.5, 0.5, 0.5]) for k in range(100)]
+    rows += [(3, [1.0, 0.0, 0.0, 0.0]), (3, [1.0, 0.0, 0.0, 0.0]), (None, [0.25, -0.3, 0.1, 0.0])]
+    odd = [(900, None), (901, []), (902, [1.0] * 3), (903, [1.0] * 5), (904, [1.0, None, 1.0, 1.0]), (905, [float("nan")] * 4), (906, [float("inf"), 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumns({c: F.lit(1) for c in ("v", "cluster", "key", "distance")}).repartition(3)
+    kept = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    key = lambda r: (r[0] is None, sha256(f"3:{r[0]}".encode()).hexdigest(), r[0] or 0, r[1])
+    means = [list(v) for _, v in sorted(kept, key=key)[:8]]
+    near = lambda v: min((sum((a - b) ** 2 for a, b in zip(v, m)), c) for c, m in enumerate(means))
+    for _ in range(5):
+        groups = {}
+        for _, v in kept:
+            groups.setdefault(near(v)[1], []).append(v)
+        means = [[sum(x) // len(x) for x in zip(*groups[c])] if c in groups else m for c, m in enumerate(means)]
+    found = [(i, *near(v)[::-1]) for i, v in kept]
+    inertia = Counter()
+    for _, c, d in found:
+        inertia[c] += d
+    want = [(i, c, d, inertia[c], sum(inertia.values()), sha256(",".join(map(str, means[c])).encode()).hexdigest()) for i, c, d in found]
+    got = centroids.cluster(df, rounds=5, dims=4)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert centroids.cluster(df.where("false"), dims=4).count() == 0
+    assert centroids.cluster(df.where("vec_id < 5"), dims=4, rounds=2).select("cluster").distinct().count() <= 7
+    with pytest.raises(Exception, match="too large"):
+        centroids.cluster(spark.createDataFrame([(1, [1e30] * 4)], "vec_id long, embedding array<double>"), dims=4).collect()

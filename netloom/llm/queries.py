@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from netloom.llm import centroids, chat_format, decontamination, exact_dedup, importance, lexical_search, ngram_join, resharding, sentencepiece_codec, token_store, toxicity, url_filter
+from netloom.llm import byte_bpe, centroids, chat_format, decontamination, exact_dedup, importance, lexical_search, ngram_join, resharding, sentencepiece_codec, token_store, toxicity, url_filter
 
 QUERIES = {
     "op1_reshard": resharding.op1_reshard,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_sentencepiece": sentencepiece_codec.op10_sentencepiece,
+    "op11_byte_bpe": byte_bpe.op11_byte_bpe,
     "op12_centroids": centroids.op12_centroids,
     "op13_lexical_search": lexical_search.op13_lexical_search,
 }

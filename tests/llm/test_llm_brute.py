@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from oracle import DATA, assert_same
 from pyspark.sql import functions as F
 
-from netloom.llm import centroids, chat_format, decontamination, importance, lexical_search, ngram_join, queries, resharding, sentencepiece_codec, token_store, toxicity
+from netloom.llm import byte_bpe, centroids, chat_format, decontamination, importance, lexical_search, ngram_join, queries, resharding, sentencepiece_codec, token_store, toxicity
 
 BIG = "/root/testdata/sf0.01"
 
@@ -627,3 +627,72 @@ def test_op12_rounds_and_odd_rows(spark):
     assert centroids.cluster(df.where("vec_id < 5"), dims=4, rounds=2).select("cluster").distinct().count() <= 7
     with pytest.raises(Exception, match="too large"):
         centroids.cluster(spark.createDataFrame([(1, [1e30] * 4)], "vec_id long, embedding array<double>"), dims=4).collect()
+
+
+@pytest.fixture(scope="module")
+def byte_tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+
+
+def test_op11(spark, byte_tokenizer):
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.QUERIES["op11_byte_bpe"](spark, BIG).collect()}
+    texts = duckdb.sql(f"select doc_id, text from '{BIG}/documents.parquet'").fetchall()
+    assert len(got) == len(texts)
+    for i, text in texts:
+        ids = byte_tokenizer.encode(text or "", add_special_tokens=False).ids
+        back = byte_tokenizer.decode(ids, skip_special_tokens=False)
+        assert got[i] == (len(ids), sha256(",".join(map(str, ids)).encode()).hexdigest(), sha256(back.encode()).hexdigest())
+
+
+SIGNS = ["a", "b", "Z", "s", "re", "ll", "'", "'s", " ", "  ", "\n", "\t", "1", "23", "-", "<|endoftext|>", "<|endof", "text|>", "日", "本", "。", "，", "\u3000", "\xa0", "é", "😀", "\x00", "\x1c", "\x85", "٣", "aaaaaaa", "...", "\r\n"]
+
+
+@pytest.mark.parametrize("sizes", [(4, 3, 64), (1, 1, 8), (128, 9, 4096)])
+@pytest.mark.parametrize("signs", [SIGNS, SIGNS[:8], [*SIGNS[15:18], "x", " "], ["日", "本", "。"], ["a"], [" "], ["'", "s", "l"]])
+def test_op11_joins_are_repaired(monkeypatch, byte_tokenizer, sizes, signs):
+    """Cuts inside words, white space, special tokens and runs without any anchor; ids are the library's."""
+    for name, value in zip(("MIN_CHUNK", "MEAN_BITS", "MAX_CHUNK"), sizes):
+        monkeypatch.setattr(byte_bpe, name, value)
+    rng = np.random.default_rng(len(signs))
+    texts = ["".join(rng.choice(signs, n)) for n in (0, 1, 30, 700, 3000, 1, 0)] * 2
+    spec = open("/opt/tokenizers/byte_bpe_50k.json").read()
+    codec, decode = byte_bpe.ChunkCodec(spec), byte_bpe.Decoder(spec)
+    for first, ids, bounds in codec.blocks(texts):
+        for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            want = byte_tokenizer.encode(texts[first + k], add_special_tokens=False).ids
+            assert ids[a:b].tolist() == want and decode(want) == byte_tokenizer.decode(want, skip_special_tokens=False)
+
+
+def test_op11_shared_chunks_are_encoded_once(byte_tokenizer):
+    rng = np.random.default_rng(3)
+    passage = " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(3000))
+    codec = byte_bpe.ChunkCodec(open("/opt/tokenizers/byte_bpe_50k.json").read())
+    list(codec.blocks([passage]))
+    once = codec.encoded
+    list(codec.blocks([f"{'x' * k} other start {k} " + passage + " and end" for k in range(20)]))
+    assert once > 20 and codec.encoded - once < 20 * 6 and codec.repaired > 20 * once * 0.7
+
+
+def test_op11_widens_until_ids_agree(byte_tokenizer, monkeypatch):
+    """With anchors where no part ends, the outer stretches differ and the repaired text grows."""
+    monkeypatch.setattr(byte_bpe, "anchors", lambda raw, text, added: np.arange(1, len(raw)))
+    monkeypatch.setattr(byte_bpe, "MEAN_BITS", 4)
+    monkeypatch.setattr(byte_bpe, "MIN_CHUNK", 8)
+    text = "internationalisation electroencephalography " * 20
+    codec = byte_bpe.ChunkCodec(open("/opt/tokenizers/byte_bpe_50k.json").read())
+    ids, _ = codec.block([text])
+    assert codec.widened > 0 and b"".join(codec.bytes[i] for i in ids) == text.encode()
+
+
+def test_op11_other_files(tmp_path, byte_tokenizer):
+    """A file whose texts may not be cut gives the library's ids for whole texts."""
+    spec = json.load(open("/opt/tokenizers/byte_bpe_50k.json"))
+    texts = ["x <|a b|> y" * 50, "Plain text"]
+    for change in ({"added_tokens": [*spec["added_tokens"], {**spec["added_tokens"][0], "id": 50257, "content": "<|a b|>"}]}, {"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {**spec["pre_tokenizer"], "add_prefix_space": True}}):
+        changed = json.dumps({**spec, **change})
+        codec = byte_bpe.codec(changed)
+        assert type(codec) is byte_bpe.WholeCodec
+        want = [e.ids for e in codec.library.encode_batch(texts, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for _, ids, bd in codec.blocks(texts) for a, b in zip(bd, bd[1:])] == want

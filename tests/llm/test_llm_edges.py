@@ -5,7 +5,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, decontamination, exact_dedup, importance, ngram_join, resharding, sentencepiece_codec, token_store, toxicity, url_filter
+from netloom.llm import byte_bpe, chat_format, decontamination, exact_dedup, importance, ngram_join, resharding, sentencepiece_codec, token_store, toxicity, url_filter
 
 LONG = "word " * 30_000 + "end"
 ROWS = [(1, "a b c d e f g", "x"), (2, None, None), (3, "", "x"), (4, LONG, "y"), (5, "a  b\tc d e f g", "x"), (5, "a  b\tc d e f g", "x"), (None, "lonely text of five words", "z"), (7, "ünï ▁ 😀", "z"), (8, "   ", "z")]
@@ -185,3 +185,11 @@ def test_op10(docs, empty):
     assert len(got[5]) == 2 and sentencepiece_codec.encode_check(empty).count() == 0
     back = by_id(sentencepiece_codec.decode_documents(sentencepiece_codec.encode_documents(docs)))
     assert back[4][0]["text"] == LONG and back[7][0]["text"] == "ünï   😀" and back[2][0]["text"] == ""
+
+
+def test_op11(docs, empty):
+    got = by_id(byte_bpe.encode_check(docs))
+    assert got[2][0]["n_tokens"] == got[3][0]["n_tokens"] == 0 and got[2][0]["ids_sha256"] == got[3][0]["decoded_sha256"]
+    assert len(got[5]) == 2 and len(got[None]) == 1 and byte_bpe.encode_check(empty).count() == 0
+    back = by_id(byte_bpe.decode_documents(byte_bpe.encode_documents(docs)))
+    assert back[4][0]["text"] == LONG and back[7][0]["text"] == "ünï ▁ 😀" and back[2][0]["text"] == ""

@@ -1,6 +1,6 @@
 """Exact deduplication with a log-structured merge index over text digests.
 
-Each batch of documents is inserted.  Every task of an insert is a memtable: it is
+Each batch of documents is inserted; a table is dealt to several by a hash of its ids.  Every task of an insert is a memtable: it is
 flushed as a sorted run of (digest, id) rows.  The run's distinct digests become
 a segment of level 1: sorted (digest, smallest id, number of rows), with a filter,
 a bitmap of hashed digests.  When a level has ``FANOUT`` segments they are merged
@@ -29,6 +29,8 @@ from netloom.llm.common import BROADCAST_BYTES, bounded_broadcast, drop_scratch,
 
 #: Segments of a level that are merged into one of the next.
 FANOUT = 4
+#: Batches that a table is inserted in: the last is looked up in a merged level.
+PARTS = FANOUT + 1
 #: Bits a digest in a segment's filter.
 FILTER_BITS = 16
 
@@ -68,8 +70,9 @@ class DedupIndex:
 
     def __init__(self, spark: SparkSession, id_col: str = "doc_id", text_col: str = "text", digest=sha256_bytes, broadcast_limit: int = BROADCAST_BYTES, fanout: int = FANOUT):
         self.spark, self.id_col, self.text_col, self.digest, self.limit, self.fanout = spark, id_col, text_col, digest, broadcast_limit, fanout
-        self.batches: list[DataFrame] = []
+        self.sources: list[DataFrame] = []
         self.runs: list[DataFrame] = []
+        self.probes = self.merges = 0
         self.hits: list[DataFrame] = []
         self.levels: list[list[Segment]] = []
 
@@ -78,25 +81,34 @@ class DedupIndex:
         text = docs.select(F.col(self.id_col).alias("doc"), normalized(F.col(self.text_col)).alias("norm"))
         return text.withColumn("digest", self.digest(F.col("norm")))
 
-    def insert(self, docs: DataFrame) -> None:
-        """Flush ``docs`` as a run, look its digests up in the older segments, and merge levels that are full."""
-        run = self._flush(docs)
+    def insert(self, docs: DataFrame, parts: int = 1) -> None:
+        """Insert ``docs`` as one batch, or as ``parts`` batches dealt by a hash of the id: texts are read once for all of them.
+
+        Each batch is flushed as a run, its digests are looked up in the older segments, and levels that are full are merged.
+        """
+        self.sources.append(docs)
+        for run in self._flush(docs, parts):
+            self._index(run)
+
+    def _index(self, run: DataFrame) -> None:
         entries = run.groupBy("digest").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "batch", "row")).alias("first"), F.count(F.lit(1)).alias("size"))
         segment = self._segment(entries)
         self.hits.append(segment.entries.where("size > 1").select("digest"))
         for level in self.levels:
             self.hits += [materialize(self._found(segment.entries, older), "dedup-hits") for older in level]
-        self.batches.append(docs)
         self.runs.append(run)
         self._push(segment, 0)
 
-    def _flush(self, docs: DataFrame) -> DataFrame:
-        rows = self._keyed(docs).select("digest", "doc", F.lit(len(self.batches)).alias("batch"), F.monotonically_increasing_id().alias("row"), F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
+    def _flush(self, docs: DataFrame, parts: int) -> list[DataFrame]:
+        """The runs of the batches, written in one pass; each is a folder of its own."""
+        batch = (F.pmod(F.xxhash64("doc"), F.lit(parts)) + len(self.runs)).cast("int").alias("batch")
+        rows = self._keyed(docs).select("digest", "doc", batch, F.monotonically_increasing_id().alias("row"), F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
         if self.digest is sha256_bytes:  # the key is the digest itself; the column would say it twice
             rows = rows.drop("sha")
         path = scratch(self.spark, "dedup-run")
-        rows.sortWithinPartitions("digest").write.options(**RUN_OPTIONS).parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        rows.sortWithinPartitions("batch", "digest").write.options(**RUN_OPTIONS).partitionBy("batch").parquet(path)
+        runs = self.spark.read.schema(rows.schema).parquet(path)
+        return [runs.where(F.col("batch") == len(self.runs) + k) for k in range(parts)]
 
     def _segment(self, entries: DataFrame) -> Segment:
         path = scratch(self.spark, "dedup-segment")
@@ -109,6 +121,7 @@ class DedupIndex:
 
     def _found(self, entries: DataFrame, older: Segment) -> DataFrame:
         """Digests of ``entries`` that ``older`` has; only those that its filter lets pass are looked up."""
+        self.probes += 1
         at = _filter_place(older.bits)
         place = F.bitmap_bit_position(at)
         marked = F.conv(F.hex(F.substring("bits", F.expr("cast(place div 8 AS INT)") + 1, 1)), 16, 10).cast("int").bitwiseAND(F.expr("shiftleft(1, cast(place % 8 AS INT))")) != 0
@@ -126,6 +139,7 @@ class DedupIndex:
 
     def _merged(self, segments: list[Segment]) -> Segment:
         """One segment of several, with the smallest first row of each digest; the merged ones are removed."""
+        self.merges += 1
         entries = reduce(DataFrame.unionByName, [s.entries for s in segments])
         out = self._segment(entries.groupBy("digest").agg(F.min("first").alias("first"), F.sum("size").alias("size")))
         kept = {id(h) for h in self.hits}
@@ -150,7 +164,7 @@ class DedupIndex:
         return materialize(both.where("low <> high").select("digest"), "dedup-collided")
 
     def _texts(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, [self._keyed(d) for d in self.batches])
+        return reduce(DataFrame.unionByName, [self._keyed(d) for d in self.sources])
 
     def rows(self) -> DataFrame:
         return reduce(DataFrame.unionByName, self.runs)
@@ -184,16 +198,8 @@ def _filter_place(bits: int) -> Column:
     return F.pmod(F.xxhash64("digest"), F.lit(bits)) + 1
 
 
-def batches_of(docs: DataFrame, count: int) -> list[DataFrame]:
-    """``docs``, a table of files, in ``count`` parts of whole files; as it is with fewer files."""
-    files = sorted(docs.inputFiles())
-    if len(files) < count:
-        return [docs]
-    return [docs.sparkSession.read.schema(docs.schema).parquet(*files[k::count]) for k in range(count)]
-
-
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Group documents by equal text.
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = PARTS, **options) -> DataFrame:
+    """Group documents by equal text, inserted in ``parts`` batches.
 
     Returns one row per input row: doc_id, keep_id, group_size, kept,
     text_sha256.  Texts are equal when they are the same after white-space runs
@@ -201,20 +207,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     come last, and of rows that agree in id and text exactly one stays.  An
     empty table gives an empty result; other columns are ignored.
     """
-    return _grouped([docs], id_col, text_col, **options)
-
-
-def _grouped(batches: list[DataFrame], id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    index = DedupIndex(batches[0].sparkSession, id_col, text_col, **options)
-    for docs in batches:
-        index.insert(docs)
+    index = DedupIndex(docs.sparkSession, id_col, text_col, **options)
+    index.insert(docs, parts)
     return index.groups().select(F.col("doc").alias("doc_id"), F.col("keep").alias("keep_id"), F.col("size").alias("group_size"), "kept", F.col("sha").alias("text_sha256"))
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns."""
     index = DedupIndex(docs.sparkSession, id_col, text_col)
-    index.insert(docs)
+    index.insert(docs, PARTS)
     if not index.collided().isEmpty():
         raise ValueError("two texts share a SHA-256 digest")
     # A row goes if a smaller id has its text.  The pair (id, digest) names it.
@@ -234,8 +235,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table is inserted in two batches, so that the second is looked up in the first."""
-    return _grouped(batches_of(spark.read.parquet(f"{sf_dir}/documents.parquet"), 2))
+    return exact_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 OP4_SQL = r"""

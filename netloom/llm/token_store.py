@@ -63,10 +63,10 @@ MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end
 
 
 def _cuts(spec: dict) -> bool:
-    """Whether texts may be cut into parts: the file's normaliser, pattern and model are the known ones, and each added token begins with ``<|``."""
+    """Whether texts may be cut into parts: the file's normaliser, pattern and model are the known ones, and each added token begins with ``<|`` and holds no white space."""
     return (
         spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [SPLIT, TO_BYTES]} and not spec["post_processor"] and not spec["truncation"] and not spec["padding"]
-        and all(spec["model"].get(k) == v for k, v in MODEL.items()) and all(t["content"].startswith("<|") and not t["lstrip"] and not t["rstrip"] and not t["single_word"] for t in spec["added_tokens"])
+        and all(spec["model"].get(k) == v for k, v in MODEL.items()) and all(t["content"].startswith("<|") and not re.search(r"\s", t["content"]) and not t["lstrip"] and not t["rstrip"] and not t["single_word"] for t in spec["added_tokens"])
     )
 
 

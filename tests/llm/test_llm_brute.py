@@ -696,3 +696,14 @@ def test_op11_other_files(tmp_path, byte_tokenizer):
         assert type(codec) is byte_bpe.WholeCodec
         want = [e.ids for e in codec.library.encode_batch(texts, add_special_tokens=False)]
         assert [ids[a:b].tolist() for _, ids, bd in codec.blocks(texts) for a, b in zip(bd, bd[1:])] == want
+
+
+def test_op5_added_tokens_with_white_space():
+    """Such a token may cross the words that texts are cut into, so whole texts go to the library."""
+    spec = json.load(open("/opt/tokenizers/word_bpe_49k.json"))
+    assert token_store._cuts(spec)
+    spec["added_tokens"].append({**spec["added_tokens"][0], "id": 49408, "content": "<|a b|>"})
+    assert not token_store._cuts(spec)
+    table = token_store._tokenizer_table(json.dumps(spec))
+    ((_, ids, _),) = table.blocks(["x <|a b|> y"])
+    assert len(ids) == 3 and 49408 in ids

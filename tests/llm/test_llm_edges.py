@@ -95,6 +95,17 @@ def test_op4_batches_are_looked_up_and_levels_merge(docs, spark):
     assert hits(index) == hits(once) and key(index) == key(once)
 
 
+def test_op4_query_goes_through_the_index(spark, monkeypatch):
+    """On a table of one file the query inserts five batches, probes the filters of older ones and merges a level."""
+    made = []
+    kind = exact_dedup.DedupIndex
+    monkeypatch.setattr(exact_dedup, "DedupIndex", lambda *a, **b: made.append(kind(*a, **b)) or made[-1])
+    exact_dedup.op4_exact_dedup(spark, "/root/testdata/sf0.001")
+    (index,) = made
+    assert len(index.runs) == 5 and index.probes == 0 + 1 + 2 + 3 + 1 and index.merges == 2
+    assert sum(r.count() for r in index.runs) == 200 and all(r.count() for r in index.runs)
+
+
 def test_op4_weak_digests_cost_comparisons_only(docs):
     weak = exact_dedup.exact_duplicates(docs, digest=lambda x: F.unhex(F.lit("00")))
     key = lambda df: sorted(map(repr, df.collect()))

@@ -49,6 +49,23 @@ def test_op1_leaves_untouched_shards_alone(spark):
     assert plan.affected == set() and rows.groupBy("shard").count().count() == 2
 
 
+def test_op1_one_source_holds_nearly_all(spark, monkeypatch):
+    """Only the blocks of a large shard are cut into cells, so the table of places keeps its bound."""
+    placed, kept = [], resharding.bounded_broadcast
+    monkeypatch.setattr(resharding, "CELLS", 200)
+    monkeypatch.setattr(resharding, "bounded_broadcast", lambda df, size: placed.append(df.count()) or kept(df, size))
+    df = spark.range(6000).selectExpr("id AS doc_id", "repeat('x', cast(id % 90 AS INT)) AS text", "CASE WHEN id % 10 < 9 THEN 0 ELSE id % 16 END AS old")
+    rows, path, plan = resharding.reshard(df, F.col("old"), 16, 24, blocks=8, file_bytes=1)
+    got = rows.select("doc_id", "shard", "slot", "size").collect()
+    assert placed[0] <= 200 + 16 * 8 and sorted(r["doc_id"] for r in got) == list(range(6000))
+    slots, load = {}, {}
+    for r in got:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        load[r["shard"]] = load.get(r["shard"], 0) + r["size"]
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert len(spark.read.parquet(path).inputFiles()) > 50
+
+
 def test_op1_moves_the_fewest_bytes():
     flow = resharding.min_cost_flow([10, 50, 0], [20, 20, 20], lambda i, j: int(i != j))
     assert sum(v for (i, j), v in flow.items() if i != j) == 30

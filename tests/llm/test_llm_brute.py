@@ -707,3 +707,37 @@ def test_op5_added_tokens_with_white_space():
     table = token_store._tokenizer_table(json.dumps(spec))
     ((_, ids, _),) = table.blocks(["x <|a b|> y"])
     assert len(ids) == 3 and 49408 in ids
+
+
+@pytest.mark.parametrize("n", [16, 17, 30, 2000])
+@pytest.mark.parametrize("place", [25, 12])
+def test_op6_items_that_share_nearly_all_are_all_found(spark, n, place):
+    """A document with the 25 words that ``n`` items share, of 26, is a leak of each; brute force over windows says so too."""
+    words = [_numbered("word", k) for k in range(25)]
+    items = [(i, " ".join([*words[:place], _numbered("own", i), *words[place:]])) for i in range(n)]
+    docs = [(1, "before it " + " ".join(words) + " after it"), (2, " ".join(words[:14])), (3, "nothing of them " * 9), (4, "say " + items[n - 1][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["cover"] for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert {i for d, i in got if d == 1} == {i for d, i in got if d == 4} == set(range(n)) and {d for d, _ in got} <= {1, 2, 4}
+    assert got[4, n - 1] == 1 and abs(got[1, 0] - 25 / 26) < 1e-9 or n == 16
+
+
+def test_op6_equal_items_are_all_found(spark):
+    text = "the clerk in the old shop sold seven jars to Bob before noon and asked for nine coins"
+    bench = spark.createDataFrame([(i, text.upper() if i == 7 else text) for i in range(30)] + [(3, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "now " + text), (2, "then the clerk in the old shop sold seven jars to Joe before noon and asked for nine coins")], "doc_id long, text string")
+    got = Counter((r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, bench).collect())
+    assert {i for d, i in got if d == 1} == set(range(30)) and got[1, 3] == 2 and {i for d, i in got if d == 2} >= set(range(30)) - {7}
+    assert decontamination.drop_contaminated(docs, bench).count() == 0
+
+
+def test_op6_items_of_common_sentences_only(spark):
+    """Items put together from a few sentences have no window of their own inside them; whole ones and halves are found as before."""
+    rng = np.random.default_rng(2)
+    stock = [" ".join(_numbered("stock", 30 * s + k) for k in range(12)) for s in range(6)]
+    items = [(i, " ".join(stock[k] for k in rng.permutation(6)[:3])) for i in range(120)]
+    docs = [(k, "x y z " + t) for k, t in items[:10]] + [(99, " ".join(_numbered("other", k) for k in range(60)))]
+    got = {}
+    for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect():
+        got.setdefault(r["doc_id"], set()).add(r["item_id"])
+    assert 99 not in got and all({i for i, t in items if t == dict(items)[k]} <= got[k] for k, _ in docs[:10])

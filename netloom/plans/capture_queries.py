@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from netloom.functions.exprs import sample_variance as sample_variance_of
 from netloom.operators import flows, netflow, sflow
 from netloom.plans import process
 from netloom.plans.queries import CUT_FLOWS_SQL, CUTS, _EXPORT_SQL, _frames, _hex, _ip_hex, _unhex, _v9_datagrams, query
-from netloom.sources import adapters, decode, pcap, sinks, write_capture
+from netloom.sources import adapters, decode, pcap, sinks, splits, write_capture
 from netloom.storage import materialize, scratch
 from netloom.streaming import carry, jobs
 
@@ -164,6 +166,42 @@ def capture_formats(spark, sf_dir):
     return pcap.split_captures(_capture_files(spark, sf_dir)).drop("data")
 
 
+#: Packets a file, and bytes of a range, where captures are read in ranges.
+PER_LARGE, RANGE = 2_500, 30_000
+#: What every ninth frame carries: records of a capture, whose headers look like those of the file that holds them.
+_NESTED = "00F1536500000000040000000400000041424344" * 6
+
+
+@query("capture_ranges", f"""
+WITH {adapters.packets_sql()}, n AS (SELECT *, CAST(floor(pkt_seq / {PER_LARGE}.0) AS BIGINT) AS file, payload_len + CASE WHEN proto = 6 THEN 54 ELSE 42 END + CASE WHEN pkt_seq % 9 = 0 THEN {len(_NESTED) // 2} ELSE 0 END AS size FROM packets)
+SELECT reader, 'file' || file AS capture_file, row_number() OVER (PARTITION BY reader, file ORDER BY pkt_seq) - 1 AS pkt_seq, ts_us, CAST(1 AS INTEGER) AS linktype, CAST(size AS INTEGER) AS cap_len, CAST(size AS INTEGER) AS orig_len
+FROM n, (VALUES ('source'), ('ranges')) r(reader)
+""")
+def capture_ranges(spark, sf_dir):
+    """Large captures read in ranges of their bytes, by ``format("pcap")`` and by the job's own reader: captures inside frames do not mislead them."""
+    import pandas as pd
+
+    folder = scratch(spark, "captures")
+    local = splits.local_path(folder)
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, number = rows.sort_values("pkt_seq"), int(rows["file"].iloc[0])
+        os.makedirs(local, exist_ok=True)
+        path = f"{local}/file{number}.pcap"
+        with open(path, "wb") as out:
+            out.write(write_capture.capture(zip(rows["ts_us"].tolist(), rows["data"].tolist()), ("pcap < us", "pcap > ns", "pcapng < us", "pcapng > ns")[number % 4]))
+        return pd.DataFrame({"path": [path]})
+
+    nested = F.when(F.col("pkt_seq") % 9 == 0, F.unhex(F.lit(_NESTED))).otherwise(F.unhex(F.lit("")))
+    frames = _frames(spark, sf_dir).withColumns({"file": F.floor(F.col("pkt_seq") / PER_LARGE), "data": F.concat("data", nested)})
+    paths = [r["path"] for r in frames.select("file", "pkt_seq", "ts_us", "data").groupBy("file").applyInPandas(write, "path string").collect()]
+    pcap.register(spark)
+    source = spark.read.format("pcap").option("splitBytes", RANGE).load("\n".join(sorted(paths)))
+    ranges = pcap.read_captures(spark, folder, mode="FAILFAST", split_bytes=RANGE)
+    both = source.withColumn("reader", F.lit("source")).unionByName(ranges.withColumn("reader", F.lit("ranges")))
+    return both.withColumn("capture_file", F.regexp_extract("capture_file", r"(file\d+)\.pcap", 1)).drop("data")
+
+
 @query("capture_reports", _FILES_SQL + f"""
 SELECT 'file' || file AS capture_file, CASE WHEN bool_or(broken) THEN NULL ELSE list_extract(['{"', '".join(f.split(" ")[0] for f in _FORMATS)}'], CAST(file % {len(_FORMATS)} AS INTEGER) + 1) END AS format, count(*) FILTER (NOT broken AND NOT lost) AS packets,
        CAST(coalesce(sum(size) FILTER (NOT broken AND NOT lost), 0) AS BIGINT) AS bytes, min(ts_us) FILTER (NOT broken AND NOT lost AND pos = 0) AS first_us, max_by(ts_us, pos) FILTER (NOT broken AND NOT lost) AS last_us,

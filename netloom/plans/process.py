@@ -38,9 +38,9 @@ def process(packets: DataFrame, flow: FlowParams = FlowParams(), profile: Profil
     return Tables(flows, host_profiles(flows, profile, device), network_series(flows, telemetry, sflow, netflow, series, device))
 
 
-def process_captures(spark: SparkSession, path: str, **options) -> Tables:
+def process_captures(spark: SparkSession, path: str, split_bytes: int = 64 << 20, **options) -> Tables:
     """The tables of all captures under ``path``."""
-    return process(decode_frames(read_captures(spark, path)), **options)
+    return process(decode_frames(read_captures(spark, path, split_bytes=split_bytes)), **options)
 
 
 def extraction_results(files: DataFrame, flow: FlowParams = FlowParams()) -> DataFrame:

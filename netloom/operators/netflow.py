@@ -9,8 +9,10 @@ within its time to live), and a second function cuts the records.
 from __future__ import annotations
 
 import socket
+from itertools import count
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,9 +115,10 @@ def export_sets(datagrams: DataFrame) -> DataFrame:
     """Templates (``fields`` set) and data sets (``body`` set) of v9 and IPFIX datagrams, in order of recv_us, arrival (datagram), seq (in the datagram)."""
 
     def run(batches):
+        arrivals = count(TaskContext.get().partitionId() << 33)
         for batch in batches:
             out = []
-            for recv, arrival, exporter, data in zip(*(batch.column(c).to_pylist() for c in ("recv_us", "arrival", "exporter", "payload"))):
+            for recv, arrival, exporter, data in zip(batch.column("recv_us").to_pylist(), arrivals, *(batch.column(c).to_pylist() for c in ("exporter", "payload"))):
                 sets = _sets(data or b"")
                 facts = next(sets, None)
                 if facts is None:
@@ -132,7 +135,7 @@ def export_sets(datagrams: DataFrame) -> DataFrame:
             names = ["recv_us", "arrival", "seq", "exporter", "version", "domain", "export_s", "boot_s", "template_id", "fields", "scope_count", "body"]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names)
 
-    return datagrams.select("recv_us", F.monotonically_increasing_id().alias("arrival"), "exporter", "payload").mapInArrow(run, SET)
+    return datagrams.select("recv_us", "exporter", "payload").mapInArrow(run, SET)
 
 
 def with_template(sets: DataFrame, ttl_s: int = TEMPLATE_TTL_S) -> DataFrame:

@@ -610,6 +610,15 @@ def streaming_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows_stream.rows_of_closed(closed, CUTS, enrich=enrichment.scope_only)
 
 
+@query("streaming_flows_flushed", f"WITH RECURSIVE {CUT_FLOWS_SQL} SELECT {', '.join(FLOW_COLUMNS)} FROM flows")
+def streaming_flows_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packets, out of order, as a stream that stops: what is open then is read from its state, and all ends as in the batch."""
+    packets = adapters.packets(spark, sf_dir, jitter=True)
+    closed = jobs.replay(packets, lambda p: flows_stream.stream_flows(p, CUTS), flush=flows_stream.open_packets)
+    ends = packets.groupBy("capture_file").agg(F.max("ts_us").alias("capture_end"))
+    return flows_stream.rows_of_closed(flows_stream.with_reasons(closed, ends, CUTS), CUTS, enrich=enrichment.scope_only)
+
+
 @query("streaming_counters", f"WITH {_COUNTER_SQL} SELECT device, if_index, arrival, CAST(iod AS BIGINT) AS in_octets_delta, CAST(ood AS BIGINT) AS out_octets_delta, interval_s, first AS first_sample, reset AS counter_reset FROM c3")
 def streaming_counters(spark, sf_dir):
     samples = _interface_samples(spark, sf_dir)

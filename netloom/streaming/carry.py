@@ -1,56 +1,82 @@
 """Batch operators that look back to the row before, run over a stream.
 
 Export templates and interface counters need the last template, or the last sample,
-of each key.  The batch operator does the work: every micro-batch is preceded by
-the rows that earlier ones have left, one a key, and leaves its own.  Both the
-results and what is left are written per micro-batch, so one that is run again
-overwrites itself.
+of each key.  A stateful operator keeps that one row a key, for a time to live, and
+puts it before the key's rows of a micro-batch; the batch operator does the work.
+Results are written per micro-batch, so one that is run again overwrites itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from netloom.operators.counters import counter_deltas
 from netloom.operators.netflow import data_records, export_sets, normalized, with_template
-from netloom.streaming.jobs import batch_folder
+from netloom.streaming.jobs import batch_folder, rocksdb, started
 
 SEEN = "carried"
+#: Milliseconds after which a key's row leaves the state if no other takes its place.
+TTL_MS = 24 * 3_600_000
 
 
-def run_carried(stream: DataFrame, job: Callable[[DataFrame], DataFrame], keys: list[str], order: list[str], out: str, checkpoint: str, leaves: str = "true", available_now: bool = False, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows):
+class Carry(StatefulProcessor):
+    """Rows of a key behind the last of earlier micro-batches; of rows that have ``leaves`` set, the last in ``order`` stays."""
+
+    def __init__(self, schema: T.StructType, order: list[str], leaves: str | None, ttl_ms: int):
+        self.schema, self.order, self.leaves, self.ttl_ms = schema, order, leaves, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", self.schema, self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        made = Row(*self.schema.names, SEEN)
+        place = [self.schema.names.index(c) for c in self.order]
+        last = self.last.get() if self.last.exists() else None
+        if last is not None:
+            yield made(*last, True)
+        newest = None
+        for r in rows:
+            row = tuple(r[c] for c in self.schema.names)
+            yield made(*row, False)
+            if (self.leaves is None or r[self.leaves] is not None) and (newest is None or [row[k] for k in place] > [newest[k] for k in place]):
+                newest = row
+        if newest is not None:
+            self.last.update(newest)
+
+    def close(self) -> None:
+        pass
+
+
+def run_carried(stream: DataFrame, job: Callable[[DataFrame], DataFrame], keys: list[str], order: list[str], out: str, checkpoint: str, leaves: str | None = None, available_now: bool = False, ttl_ms: int = TTL_MS):
     """Start ``job`` over a stream.
 
-    ``job`` gets rows with a column ``carried``; rows with it set come from before.
-    What it gives with ``carried`` set is left out; a job whose results cannot come
-    from such rows may drop the column.  Of the rows where ``leaves`` holds, the
-    last of each key in ``order`` is carried on.  ``prepare`` is applied to each micro-batch first.
+    ``job`` gets the rows of a micro-batch with a column ``carried``; rows with it
+    set come from before.  What it gives with ``carried`` set is left out; a job whose
+    results cannot come from such rows may drop the column.  Of the rows that have
+    ``leaves`` (all, if none is named) the last of each key in ``order`` is carried on, for
+    ``ttl_ms`` of the clock.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = prepare(batch).withColumn(SEEN, F.lit(False))
-        schema = fresh.schema
-        both = fresh
-        if number > 0:
-            both = fresh.unionByName(spark.read.schema(schema).parquet(batch_folder(f"{out}_carried", number - 1)).withColumn(SEEN, F.lit(True)))
-        made = job(both)
+        made = job(batch)
         made = made.where(~F.col(SEEN)).drop(SEEN) if SEEN in made.columns else made
         made.write.mode("overwrite").parquet(batch_folder(out, number))
-        last = both.where(leaves).groupBy(*keys).agg(F.max_by(F.struct(*both.columns), F.struct(*order)).alias("last"))
-        last.select("last.*").write.mode("overwrite").parquet(batch_folder(f"{out}_carried", number))
 
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
+    both = stream.groupBy(*keys).transformWithState(Carry(schema, order, leaves, ttl_ms), T.StructType([*schema.fields, T.StructField(SEEN, T.BooleanType())]), "append", "ProcessingTime")
+    with rocksdb(stream.sparkSession, idle_batches=False):
+        return started(both.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint), available_now)
 
 
 def run_templates(sets: DataFrame, out: str, checkpoint: str, ttl_s: int = 3600, available_now: bool = False):
     """Data sets of a stream of export sets with the template that applies (see ``with_template``)."""
     order = ["recv_us", *(c for c in ("arrival",) if c in sets.columns), "seq"]
-    return run_carried(sets, lambda rows: with_template(rows, ttl_s), ["exporter", "domain", "template_id"], order, out, checkpoint, "fields IS NOT NULL", available_now)
+    return run_carried(sets, lambda rows: with_template(rows, ttl_s), ["exporter", "domain", "template_id"], order, out, checkpoint, "fields", available_now)
 
 
 def run_exports(datagrams: DataFrame, out: str, checkpoint: str, ttl_s: int = 3600, available_now: bool = False):
@@ -60,7 +86,7 @@ def run_exports(datagrams: DataFrame, out: str, checkpoint: str, ttl_s: int = 36
         first = F.when(F.col(SEEN), F.lit(-1)).otherwise(F.col("arrival"))  # what was carried came before
         return normalized(data_records(with_template(rows.withColumn("arrival", first), ttl_s)))
 
-    return run_carried(datagrams, job, ["exporter", "domain", "template_id"], ["recv_us", "arrival", "seq"], out, checkpoint, "fields IS NOT NULL", available_now, export_sets)
+    return run_carried(export_sets(datagrams), job, ["exporter", "domain", "template_id"], ["recv_us", "arrival", "seq"], out, checkpoint, "fields", available_now)
 
 
 def run_counters(samples: DataFrame, out: str, checkpoint: str, keys: tuple[str, ...] = ("device", "if_index", "if_name"), available_now: bool = False):

@@ -1,9 +1,10 @@
 """NetFlow v5, v9 and IPFIX: datagrams to flow-export records.
 
 Version 5 has fixed offsets and is decoded by expressions alone.  For v9 and
-IPFIX an Arrow function cuts datagrams into templates and data sets, a window
-finds the template that each data set refers to (the latest at or before it
-within its time to live), and a second function cuts the records.
+IPFIX an Arrow function cuts datagrams into templates and data sets.  Templates
+become intervals in which they hold, few rows as resent templates add none, and
+each data set is joined with the interval that it falls into, where it is: bodies
+are not brought together by exporter.  A second function cuts the records.
 """
 
 from __future__ import annotations
@@ -111,8 +112,8 @@ def _templates(body: bytes, version: int, options: bool):
         yield number, fields, scope
 
 
-def export_sets(datagrams: DataFrame) -> DataFrame:
-    """Templates (``fields`` set) and data sets (``body`` set) of v9 and IPFIX datagrams, in order of recv_us, arrival (datagram), seq (in the datagram)."""
+def export_sets(datagrams: DataFrame, bodies: bool = True) -> DataFrame:
+    """Templates (``fields`` set) and, with ``bodies``, data sets (``body`` set) of v9 and IPFIX datagrams, in order of recv_us, arrival (datagram), seq (in the datagram)."""
 
     def run(batches):
         arrivals = count(TaskContext.get().partitionId() << 33)
@@ -129,7 +130,7 @@ def export_sets(datagrams: DataFrame) -> DataFrame:
                     if number in ((0, 1) if version == 9 else (2, 3)):
                         for j, (t, fields, scope) in enumerate(_templates(body, version, number in (1, 3))):
                             out.append((recv, arrival, (k << 20) + j, *head[3:], t, fields, scope, None))
-                    elif number >= 256:
+                    elif bodies and number >= 256:
                         out.append((*head, number, None, None, body))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.list_(pa.struct([("element", pa.int32()), ("len", pa.int32())])), pa.int32(), pa.binary())
             names = ["recv_us", "arrival", "seq", "exporter", "version", "domain", "export_s", "boot_s", "template_id", "fields", "scope_count", "body"]
@@ -138,14 +139,49 @@ def export_sets(datagrams: DataFrame) -> DataFrame:
     return datagrams.select("recv_us", "exporter", "payload").mapInArrow(run, SET)
 
 
-def with_template(sets: DataFrame, ttl_s: int = TEMPLATE_TTL_S) -> DataFrame:
-    """Data sets with ``template``, the latest of their key that came before and is not older than ``ttl_s``; null if there is none."""
-    fresh = F.when(F.col("fields").isNotNull(), F.struct("fields", F.col("recv_us").alias("at")))
-    order = ", ".join(["recv_us", *(c for c in ("arrival",) if c in sets.columns), "seq"])
-    latest = f"last(t, true) OVER (PARTITION BY exporter, domain, template_id ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    found = sets.withColumn("t", fresh).withColumn("t", F.expr(latest)).where("body IS NOT NULL")
-    alive = F.col("recv_us") - F.col("t.at") <= ttl_s * 1_000_000
-    return found.withColumn("template", F.when(alive, F.col("t.fields"))).drop("t", "fields", "scope_count")
+#: Intervals are sent to all tasks only up to this many rows; more are joined by a shuffle, which adaptive execution can split.
+BROADCAST_INTERVALS = 100_000
+
+
+def template_intervals(templates: DataFrame, ttl_s: int = TEMPLATE_TTL_S) -> DataFrame:
+    """exporter, domain, template_id, fields, starts, ends (places in order; null if nothing ends it), until, bucket: when each template holds.
+
+    Of templates that follow one another within ``ttl_s`` and say the same, all are
+    one interval.  It ends where another template begins, at ``until`` at the latest;
+    a row stands for each stretch of ``ttl_s`` (``bucket``) that it reaches into.
+    """
+    ttl, key = ttl_s * 1_000_000, "PARTITION BY exporter, domain, template_id ORDER BY place"
+    rows = templates.where("fields IS NOT NULL").select("exporter", "domain", "template_id", "fields", "recv_us", _place(templates).alias("place"))
+    before = rows.withColumns({"b": F.expr(f"lag(recv_us) OVER ({key})"), "same": F.expr(f"fields <=> lag(fields) OVER ({key})")})
+    opens = F.col("b").isNull() | ~F.col("same") | (F.col("recv_us") - F.col("b") > ttl)
+    runs = before.withColumn("opens", opens.cast("int")).withColumn("run", F.expr(f"sum(opens) OVER ({key} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
+    held = runs.groupBy("exporter", "domain", "template_id", "run").agg(F.first("fields").alias("fields"), F.min("place").alias("starts"), F.max("recv_us").alias("last"))
+    held = held.withColumns({"ends": F.expr("lead(starts) OVER (PARTITION BY exporter, domain, template_id ORDER BY run)"), "until": F.col("last") + ttl})
+    stop = F.least(F.col("until"), F.coalesce(F.col("ends.recv_us"), F.col("until")))
+    width = max(1, ttl)
+    buckets = F.sequence(F.floor(F.col("starts.recv_us") / width), F.floor(stop / width))
+    return held.select("exporter", "domain", "template_id", "fields", "starts", "ends", "until", F.explode(buckets).alias("bucket"))
+
+
+def _place(sets: DataFrame) -> Column:
+    return F.struct("recv_us", *(c for c in ("arrival",) if c in sets.columns), "seq")
+
+
+def with_template(sets: DataFrame, ttl_s: int = TEMPLATE_TTL_S, templates: DataFrame | None = None) -> DataFrame:
+    """Data sets with ``template``, the latest of their key that came before and is not older than ``ttl_s``; null if there is none.
+
+    ``templates``: the rows of ``sets`` that are templates, where they can be had at less cost.
+    """
+    holds = template_intervals(sets if templates is None else templates, ttl_s)
+    if holds.count() <= BROADCAST_INTERVALS:
+        holds = F.broadcast(holds)
+    data = sets.where("body IS NOT NULL").drop("fields", "scope_count").withColumns({"place": _place(sets), "bucket": F.floor(F.col("recv_us") / max(1, ttl_s * 1_000_000))})
+    keys = ["exporter", "domain", "template_id", "bucket"]
+    here = holds.select(*(F.col(c).alias(f"t_{c}") for c in keys), F.col("fields").alias("template"), "starts", "ends", "until")
+    on = [F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in keys]
+    inside = (F.col("place") > F.col("starts")) & (F.col("ends").isNull() | (F.col("place") < F.col("ends"))) & (F.col("recv_us") <= F.col("until"))
+    joined = data.join(here, [*on, inside], "left")
+    return joined.select(*(c for c in data.columns if c not in ("place", "bucket")), "template")
 
 
 def awaiting_template(sets: DataFrame, ttl_s: int = TEMPLATE_TTL_S) -> DataFrame:
@@ -225,4 +261,5 @@ def normalized(records: DataFrame) -> DataFrame:
 
 def flow_exports(datagrams: DataFrame, ttl_s: int = TEMPLATE_TTL_S) -> DataFrame:
     """Rows of all versions."""
-    return netflow_v5(datagrams).unionByName(normalized(data_records(with_template(export_sets(datagrams), ttl_s))))
+    matched = with_template(export_sets(datagrams), ttl_s, templates=export_sets(datagrams, bodies=False))
+    return netflow_v5(datagrams).unionByName(normalized(data_records(matched)))

@@ -23,13 +23,13 @@ class Tables:
     series: DataFrame
 
 
-def process(packets: DataFrame, flow: FlowParams = FlowParams(), profile: ProfileParams = ProfileParams(), series: SeriesParams = SeriesParams(), ranges: DataFrame | None = None, device: str = "", telemetry=None, sflow=None, netflow=None, flows_path: str | None = None) -> Tables:
+def process(packets: DataFrame, flow: FlowParams = FlowParams(), profile: ProfileParams = ProfileParams(), series: SeriesParams = SeriesParams(), ranges: DataFrame | None = None, ranges_v6: DataFrame | None = None, device: str = "", telemetry=None, sflow=None, netflow=None, flows_path: str | None = None) -> Tables:
     """The three tables of a set of packets.
 
     Flows feed all three, so they are written once, to ``flows_path`` or the
     shared folder, and read back: the two analyses do not assemble them again.
     """
-    flows = assemble_flows(packets, flow, device, enricher(ranges))
+    flows = assemble_flows(packets, flow, device, enricher(ranges, ranges_v6))
     if flows_path:
         flows.write.mode("overwrite").parquet(flows_path)
         flows = flows.sparkSession.read.schema(flows.schema).parquet(flows_path)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import re
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netloom.functions.exprs import csv_cell
+from netloom.storage import materialize
 
 #: Rows a CSV file holds at most.
 CSV_ROWS = 1_000_000
@@ -73,15 +77,29 @@ def write_rows(df: DataFrame, path: str, by: tuple[str, ...] = ("capture_file",)
     df.write.mode("append").partitionBy(*by).parquet(path)
 
 
+def running_total(rows: DataFrame, value: str, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with the sum of ``value`` up to each row in ``order``, without bringing all rows together.
+
+    Rows are dealt to tasks by ranges of the order and written; the totals of the
+    ranges, one number each, give what comes before a range, and a window inside it the rest.
+    """
+    part, before = f"{name}_range", f"{name}_before"
+    dealt = materialize(rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "running-total")
+    totals = {r[part]: r["total"] for r in dealt.groupBy(part).agg(F.sum(value).alias("total")).collect()}  # one row a range
+    starts = dict(zip(sorted(totals), accumulate([0, *(totals[p] or 0 for p in sorted(totals))])))
+    offsets = rows.sparkSession.createDataFrame(list(starts.items()), f"`{part}` int, `{before}` long")
+    inside = F.sum(value).over(Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return dealt.withColumn(name, inside).join(F.broadcast(offsets), part).withColumn(name, F.col(name) + F.col(before)).drop(part, before)
+
+
 def retention(files: DataFrame, max_bytes: int, min_modified=None, protect: tuple[str, ...] = ()) -> DataFrame:
     """Files (path, length, modified) to delete: those too old, then the oldest until the rest fits ``max_bytes``.
 
     What is kept is the newest files whose running size stays within the limit.
-    The window is over the listing of one folder.
     """
     files = files.where(~F.col("path").isin(*protect)) if protect else files
     # Newest first: a file goes once it and all newer ones exceed the limit.
-    held = files.withColumn("newer", F.expr("sum(length) OVER (ORDER BY modified DESC, path DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
+    held = running_total(files, "length", [F.desc("modified"), F.desc("path")], "newer")
     old = F.lit(False) if min_modified is None else F.col("modified") < min_modified
     return held.where(old | (F.col("newer") > max_bytes)).drop("newer")
 
@@ -90,13 +108,29 @@ def apply_retention(spark: SparkSession, root: str, max_bytes: int, min_modified
     """Delete what :func:`retention` names under ``root``; returns how many files went.
 
     A root that is no folder of its own (empty, the working folder, the root of a
-    store) is refused.  The listing is Spark's; deletions go one by one through the driver.
+    store) is refused.  The listing is Spark's.  Files that executors can reach are
+    deleted by tasks, those of other stores one by one through the driver.
     """
     if root.strip().rstrip("/\\") in ("", ".", "..") or re.fullmatch(r"[a-z0-9+.-]+:/*", root):
         raise ValueError(f"not a folder to clean: {root!r}")
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", F.col("modificationTime").alias("modified"))
-    jvm, gone = spark.sparkContext._jvm, 0
-    for row in retention(listing, max_bytes, min_modified, protect).select("path").toLocalIterator():
+    going = materialize(retention(listing, max_bytes, min_modified, protect).select("path"), "retention")
+
+    def delete(batches):
+        for batch in batches:
+            done = 0
+            for path in batch.column("path").to_pylist():
+                try:
+                    os.remove("/" + path.removeprefix("file:").lstrip("/"))
+                    done += 1
+                except FileNotFoundError:  # an earlier attempt of this task deleted it
+                    pass
+            yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], ["gone"])
+
+    jvm = spark.sparkContext._jvm
+    near = F.col("path").startswith("file:")
+    gone = going.where(near).mapInArrow(delete, "gone long").agg(F.sum("gone")).first()[0] or 0
+    for row in going.where(~near).toLocalIterator():
         where = jvm.org.apache.hadoop.fs.Path(row["path"])
         gone += bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, False))
     return gone

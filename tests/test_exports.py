@@ -141,3 +141,26 @@ def test_datagrams_of_one_instant_keep_their_order(spark):
     df = spark.createDataFrame(sets, netflow.SET)
     got = {bytes(r["body"]): r["template"][0]["element"] for r in netflow.with_template(df).collect()}
     assert got == {b"a": 8, b"b": 12}
+
+
+def test_one_exporter_is_spread_over_tasks(spark):
+    """Data sets of one exporter are joined where they are; templates that are sent again, change or go stale apply as they come."""
+    fields = lambda k: [(k, 4)]
+    sets = []
+    for k in range(3000):
+        us = k * 1_000_000
+        if k % 50 == 0 and not 1000 < k < 1400:
+            sets.append((us, 2 * k, "e", 9, 1, 0.0, 0.0, 256, fields(k // 600), 0, None))
+        sets.append((us, 2 * k + 1, "e", 9, 1, 0.0, 0.0, 256, None, 0, bytes([1])))
+    df = spark.createDataFrame(sets, netflow.SET.replace("arrival long, ", "")).repartition(6)
+    found = netflow.with_template(df, ttl_s=100)
+    want, last = {}, None
+    for us, seq, *_, template, _, body in sets:
+        if template:
+            last = us, template[0][0]
+        else:
+            want[seq] = last[1] if us - last[0] <= 100_000_000 else None
+    assert {r["seq"]: r["template"] and r["template"][0]["element"] for r in found.collect()} == want and None in want.values()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "body" not in plan.split("Window")[1].split("Exchange")[0]
+    assert netflow.template_intervals(df, ttl_s=100).select("starts").distinct().count() <= 8

@@ -87,3 +87,33 @@ def test_retention(spark):
     assert [r["path"] for r in sinks.retention(files, 20).collect()] == ["a"]
     assert sorted(r["path"] for r in sinks.retention(files, 100, min_modified=3).collect()) == ["a", "b"]
     assert [r["path"] for r in sinks.retention(files, 10, protect=("a",)).collect()] == ["b"]
+
+
+def test_running_total_over_ranges(spark, tmp_path):
+    """Many ranges, ties in the order's first column, nulls; no exchange brings all rows together."""
+    from pyspark.sql import functions as F
+
+    rows = [(f"f{k:04}", k * 7 % 113 if k % 10 else None, k % 17) for k in range(2000)]
+    df = spark.createDataFrame(rows, "path string, length long, modified long")
+    made = sinks.running_total(df, "length", [F.desc("modified"), F.desc("path")], "newer")
+    total, want = 0, {}
+    for path, length, _ in sorted(rows, key=lambda r: (r[2], r[0]), reverse=True):
+        total += length or 0
+        want[path] = total
+    assert {r["path"]: r["newer"] for r in made.collect()} == want
+    assert "SinglePartition" not in made._jdf.queryExecution().toString()
+    for k in range(6):
+        (tmp_path / f"f{k}").write_bytes(b"x" * 10)
+    assert sinks.apply_retention(spark, str(tmp_path), 25) == 4 and len(list(tmp_path.iterdir())) == 2
+
+
+def test_networks_of_both_families(spark):
+    """One wide IPv6 range is many rows once it is cut, and is counted so before it is sent anywhere."""
+    from netloom.operators import enrichment
+
+    v6 = spark.createDataFrame([("2" + "0" * 31, "3" + "f" * 31, 64500, "wide", "NL")], "start string, end string, asn long, org string, country string")
+    rows = spark.createDataFrame([("8.8.8.8", "2001:db8::1"), ("8.8.8.8", "2a00::5"), ("8.8.8.8", "fe80::1")], "src_ip string, dst_ip string")
+    got = {r["dst_ip"]: r["dst_asn"] for r in enrichment.enricher(None, v6)(rows).collect()}
+    assert got["2a00::5"] == "AS64500" and got["fe80::1"] == ""
+    first, last = enrichment._prefix_v6("start"), enrichment._prefix_v6("end")
+    assert not enrichment._few(v6, first, last) and enrichment._few(v6.where("false"), first, last)

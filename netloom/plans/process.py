@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netloom.config import FlowParams, ProfileParams, SeriesParams
 from netloom.operators.enrichment import enricher
-from netloom.operators.flows import assemble_flows, flow_statistics
+from netloom.operators.flows import finished_flows, flow_statistics, open_flows
 from netloom.operators.host_profiles import host_profiles
 from netloom.operators.network_series import network_series
 from netloom.sources.decode import decode_frames, decode_report
 from netloom.sources.pcap import capture_reports, read_captures, split_captures
-from netloom.storage import materialize
+from netloom.storage import discard, materialize
 
 
 @dataclass
@@ -29,12 +29,14 @@ def process(packets: DataFrame, flow: FlowParams = FlowParams(), profile: Profil
     Flows feed all three, so they are written once, to ``flows_path`` or the
     shared folder, and read back: the two analyses do not assemble them again.
     """
-    flows = assemble_flows(packets, flow, device, enricher(ranges, ranges_v6))
+    held = open_flows(packets, flow)
+    flows = finished_flows(held, flow, device, enricher(ranges, ranges_v6))
     if flows_path:
         flows.write.mode("overwrite").parquet(flows_path)
         flows = flows.sparkSession.read.schema(flows.schema).parquet(flows_path)
     else:
         flows = materialize(flows, "flows")
+    discard(held)
     return Tables(flows, host_profiles(flows, profile, device), network_series(flows, telemetry, sflow, netflow, series, device))
 
 
@@ -48,8 +50,9 @@ def extraction_results(files: DataFrame, flow: FlowParams = FlowParams()) -> Dat
 
     Columns: those of ``capture_reports``, then skipped (frames without an IP packet), decode_rate, and those of ``flow_statistics``.
     """
-    frames = split_captures(files)
+    frames = materialize(split_captures(files), "frames")
+    packets = decode_frames(frames)
     report = decode_report(frames).select("capture_file", "skipped", "decode_rate")
-    flows = flow_statistics(decode_frames(frames), flow).withColumnRenamed("packets", "flow_packets")
+    flows = flow_statistics(packets, flow).withColumnRenamed("packets", "flow_packets")
     rows = capture_reports(files).join(report, "capture_file", "left").join(flows, "capture_file", "left")
     return rows.fillna(0, ["skipped", "decode_rate", *flows.columns[1:]])

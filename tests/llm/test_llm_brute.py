@@ -741,3 +741,66 @@ def test_op6_items_of_common_sentences_only(spark):
     for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect():
         got.setdefault(r["doc_id"], set()).add(r["item_id"])
     assert 99 not in got and all({i for i, t in items if t == dict(items)[k]} <= got[k] for k, _ in docs[:10])
+
+
+def _plain_logistic(x, label, steps=120, ridge=2.0):
+    """Balanced logistic regression over dense rows, one number at a time where it matters: Adam on the mean loss with a shared ridge."""
+    n, k = x.shape
+    weight, bias = [0.0] * k, 0.0
+    m, v = [0.0] * (k + 1), [0.0] * (k + 1)
+    ones = sum(label)
+    if ones in (0, n):
+        return weight, 30.0 if ones else -30.0
+    for t in range(1, steps + 1):
+        gradient = [0.0] * (k + 1)
+        for row, y in zip(x, label):
+            z = max(-30.0, min(30.0, sum(a * b for a, b in zip(row, weight)) + bias))
+            d = (1 / (1 + np.exp(-z)) - y) * (0.5 / ones if y else 0.5 / (n - ones))
+            for j in range(k):
+                gradient[j] += d * row[j]
+            gradient[k] += d
+        for j in range(k):
+            gradient[j] += ridge / n * weight[j]
+        for j in range(k + 1):
+            m[j], v[j] = 0.9 * m[j] + 0.1 * gradient[j], 0.99 * v[j] + 0.01 * gradient[j] ** 2
+            step = 0.25 * (m[j] / (1 - 0.9**t)) / ((v[j] / (1 - 0.99**t)) ** 0.5 + 1e-8)
+            if j < k:
+                weight[j] -= step
+            else:
+                bias -= step
+    return weight, bias
+
+
+def test_op7_chain_against_a_plain_reference():
+    """Models, folds and order of the chain: each category's model reads the out-of-fold probabilities of those before it."""
+    rng = np.random.default_rng(9)
+    n, columns = 160, 5
+    x = (rng.random((n, columns)) < 0.25).astype(float)
+    first, second = x[:, 0], ((x[:, 1] + x[:, 2] > 0) ^ (rng.random(n) < 0.05)).astype(float)
+    labels = {"a": first, "b": second, "toxic": np.maximum(first, second)}
+    owner, flat = np.nonzero(x)
+    sample = toxicity.Sample(features=columns, folds=3)
+    chain = toxicity.fit_chain(flat.astype(np.int64), owner.astype(np.int32), labels, sample)
+    kept = sorted(chain.column, key=chain.column.get)
+    dense, before = x[:, kept], np.zeros((n, 0))
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    for model, label in zip(chain.models, labels.values()):
+        weight, bias = _plain_logistic(np.hstack([dense, before]), label)
+        assert np.allclose(model.weight, weight, atol=1e-6) and abs(model.bias - bias) < 1e-6
+        out = np.zeros(n)
+        for k in range(3):
+            test = np.arange(n) % 3 == k
+            w, c = _plain_logistic(np.hstack([dense, before])[~test], label[~test])
+            out[test] = sigmoid(np.hstack([dense, before])[test] @ np.array(w) + c)
+        before = np.column_stack([before, out])
+    # scoring feeds the full models' own probabilities forward
+    seen, p = dense, []
+    for model in chain.models:
+        p.append(sigmoid(seen @ model.weight + model.bias))
+        seen = np.column_stack([seen, p[-1]])
+    got = chain.score([np.flatnonzero(row).tolist() for row in x])
+    assert len(kept) >= 3 and np.allclose(got, np.array(p).T, atol=1e-9)
+    # the limit is the best F-measure of the last out-of-fold probabilities, precision counting twice
+    order = np.argsort(-before[:, -1], kind="stable")
+    f = [(1.25 * labels["toxic"][order[: k + 1]].sum()) / (k + 1 + 0.25 * labels["toxic"].sum()) for k in range(n)]
+    assert before[order[int(np.argmax(f))], -1] >= chain.limit

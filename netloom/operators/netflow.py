@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from netloom.functions.exprs import ipv4_text, iso_utc, proto_name, unsigned
 from netloom.schemas import NETFLOW_COLUMNS
+from netloom.storage import materialize
 
 TEMPLATE_TTL_S = 3600
 
@@ -172,7 +173,7 @@ def with_template(sets: DataFrame, ttl_s: int = TEMPLATE_TTL_S, templates: DataF
 
     ``templates``: the rows of ``sets`` that are templates, where they can be had at less cost.
     """
-    holds = template_intervals(sets if templates is None else templates, ttl_s)
+    holds = materialize(template_intervals(sets if templates is None else templates, ttl_s), "templates")
     if holds.count() <= BROADCAST_INTERVALS:
         holds = F.broadcast(holds)
     data = sets.where("body IS NOT NULL").drop("fields", "scope_count").withColumns({"place": _place(sets), "bucket": F.floor(F.col("recv_us") / max(1, ttl_s * 1_000_000))})

@@ -303,6 +303,29 @@ def streaming_exports(spark, sf_dir):
     return made.select(F.col("exporter").cast("long").alias("pkt_seq"), "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "protocol_name", "tcp_flags", "bytes", "packets", "duration_s")
 
 
+@query("streaming_statistics", _FILES_SQL + """
+SELECT count(DISTINCT file) AS files, count(*) FILTER (NOT broken AND NOT lost) AS frames, count(DISTINCT file) FILTER (broken) AS bad_files, count(*) FILTER (NOT broken AND NOT lost) AS packets, CAST(0 AS BIGINT) AS late FROM g
+""")
+def streaming_statistics(spark, sf_dir):
+    """Captures that land in a folder, bad and cut ones too, through the streaming job; its own statistics, added up."""
+    root = scratch(spark, "landed")
+    local = splits.local_path(root)
+
+    def land(batches):
+        for batch in batches:
+            os.makedirs(f"{local}/in", exist_ok=True)
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                with open(f"{local}/{path}", "wb") as out:
+                    out.write(content)
+                os.rename(f"{local}/{path}", f"{local}/in/{path}.pcap")
+            yield batch.select(["path"])
+
+    _capture_files(spark, sf_dir).mapInArrow(land, "path string").write.format("noop").mode("overwrite").save()
+    jobs.run_capture_flows(spark, f"{root}/in", f"{root}/out", f"{root}/state", params=CUTS, available_now=True, files_per_trigger=64, delay="300 days").awaitTermination()
+    rows = spark.read.schema(observe.STATISTICS).parquet(f"{root}/out/statistics")
+    return rows.agg(F.sum("rows").alias("files"), *(F.sum(c).alias(c) for c in ("frames", "bad_files", "packets", "late")))
+
+
 @query("export_errors", """
 SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'too short' WHEN 1 THEN 'unsupported version 1' WHEN 2 THEN 'unsupported version 8' WHEN 3 THEN 'unknown version 77' END AS reason FROM events WHERE event_id % 6 < 4
 """)

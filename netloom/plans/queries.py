@@ -12,6 +12,7 @@ from netloom.functions import exprs
 from netloom.operators import counters, enrichment, flows, host_profiles, netflow, network_series, sflow
 from netloom.schemas import DEVICE_COLUMNS, FLOW_COLUMNS, HOST_COLUMNS, INTERFACE_COLUMNS, SERIES_COLUMNS
 from netloom.sources import adapters, decode, pcap, sinks, telemetry
+from netloom.storage import materialize
 from netloom.streaming import carry, jobs
 from netloom.streaming import flows as flows_stream
 
@@ -444,7 +445,7 @@ def _v9_datagrams(spark, sf_dir):
 
 @query("netflow_v9", _EXPORT_SQL + "CAST(pkt_seq % 90 + 1 AS BIGINT) AS packets, round((pkt_seq % 7000) / 1000.0, 3) AS duration_s, CASE WHEN pkt_seq % 5 = 0 THEN 1 ELSE pkt_seq % 5 END AS sampling_rate FROM packets")
 def netflow_v9(spark, sf_dir):
-    rows = netflow.flow_exports(_v9_datagrams(spark, sf_dir))
+    rows = netflow.flow_exports(materialize(_v9_datagrams(spark, sf_dir), "datagrams"))  # as a collector lands them
     return rows.select(F.col("exporter").cast("long").alias("pkt_seq"), "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "protocol_name", "tcp_flags", "bytes", "packets", "duration_s", "sampling_rate")
 
 

@@ -18,7 +18,7 @@ from netloom.plans.process import process_captures
 from netloom.sources.decode import decode_frames
 from netloom.sources.pcap import capture_files, capture_reports, read_captures
 from netloom.sources.sinks import apply_retention, write_csv
-from netloom.streaming.jobs import run_capture_flows
+from netloom.streaming.jobs import flush_flows, run_capture_flows
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("path")
     run.add_argument("out")
     run.add_argument("--once", action="store_true", help="stop when all that has landed is done")
+    run.add_argument("--flush", action="store_true", help="with --once: write the flows that are still open as the end of their captures closes them")
     decode = commands.add_parser("decode")
     decode.add_argument("path")
     decode.add_argument("--packets", type=int, default=20)
@@ -53,7 +54,10 @@ def main(argv: list[str] | None = None) -> None:
         return
     flow, profile, series = OFFLINE
     if options.command == "run":
-        run_capture_flows(spark, options.path, options.out, f"{options.out}/_checkpoint", params=flow, available_now=options.once, profile=profile, series=series).awaitTermination()
+        state, settings = f"{options.out}/_checkpoint", {"params": flow, "profile": profile, "series": series}
+        run_capture_flows(spark, options.path, options.out, state, available_now=options.once, **settings).awaitTermination()
+        if options.once and options.flush:
+            print(flush_flows(spark, options.out, state, **settings), "open flows written")
         return
     tables = process_captures(spark, options.path, flow=flow, profile=profile, series=series, flows_path=f"{options.out}/flows")
     for name in ("profiles", "series"):

@@ -12,7 +12,7 @@ from netloom.functions import exprs
 from netloom.operators import counters, enrichment, flows, host_profiles, netflow, network_series, sflow
 from netloom.schemas import DEVICE_COLUMNS, FLOW_COLUMNS, HOST_COLUMNS, INTERFACE_COLUMNS, SERIES_COLUMNS
 from netloom.sources import adapters, decode, pcap, sinks, telemetry
-from netloom.storage import materialize
+from netloom.storage import materialize, scratch
 from netloom.streaming import carry, jobs
 from netloom.streaming import flows as flows_stream
 
@@ -620,6 +620,21 @@ def streaming_flows_flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows_stream.rows_of_closed(flows_stream.with_reasons(closed, ends, CUTS), CUTS, enrich=enrichment.scope_only)
 
 
+@query("streaming_flows_corrected", f"WITH RECURSIVE {CUT_FLOWS_SQL} SELECT {', '.join(FLOW_COLUMNS)} FROM flows")
+def streaming_flows_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in which packets come long after their flows have closed: once corrected, all flows are the batch's."""
+    packets = materialize(adapters.packets(spark, sf_dir, jitter=True), "packets")
+    last = packets.agg(F.max("pkt_seq")).first()[0] or 0
+    late = (F.col("pkt_seq") % 11 == 3) & (F.col("pkt_seq") < last // 3)
+    out, settings = scratch(spark, "corrected"), {"params": CUTS, "enrich": enrichment.scope_only}
+    state = f"{out}/state"
+    job = lambda p: lambda *_: jobs.run_flows(p, out, state, available_now=True, delay="1 minute", **settings)
+    jobs.replay(packets.withColumn("arrival", F.col("pkt_seq") + F.when(late, last).otherwise(0)), job, order="arrival", result=f"{out}/flows")
+    jobs.flush_flows(spark, out, state, **settings)
+    jobs.correct_late(packets, out, **settings)
+    return jobs.current_flows(spark, out).select(*FLOW_COLUMNS)
+
+
 @query("streaming_counters", f"WITH {_COUNTER_SQL} SELECT device, if_index, arrival, CAST(iod AS BIGINT) AS in_octets_delta, CAST(ood AS BIGINT) AS out_octets_delta, interval_s, first AS first_sample, reset AS counter_reset FROM c3")
 def streaming_counters(spark, sf_dir):
     samples = _interface_samples(spark, sf_dir)

@@ -18,6 +18,7 @@ from netloom.plans.process import process_captures
 from netloom.sources.decode import decode_frames
 from netloom.sources.pcap import capture_files, capture_reports, read_captures
 from netloom.sources.sinks import apply_retention, write_csv
+from netloom.streaming.ledger import enlist, keep_enlisting
 from netloom.streaming.jobs import flush_flows, run_capture_flows
 
 
@@ -33,6 +34,7 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("out")
     run.add_argument("--once", action="store_true", help="stop when all that has landed is done")
     run.add_argument("--flush", action="store_true", help="with --once: write the flows that are still open as the end of their captures closes them")
+    run.add_argument("--ledger", action="store_true", help="read each content once: renamed copies are left out, replaced files are read again")
     decode = commands.add_parser("decode")
     decode.add_argument("path")
     decode.add_argument("--packets", type=int, default=20)
@@ -55,7 +57,12 @@ def main(argv: list[str] | None = None) -> None:
     flow, profile, series = OFFLINE
     if options.command == "run":
         state, settings = f"{options.out}/_checkpoint", {"params": flow, "profile": profile, "series": series}
-        run_capture_flows(spark, options.path, options.out, state, available_now=options.once, **settings).awaitTermination()
+        ledger = f"{options.out}/_ledger" if options.ledger else None
+        if ledger:
+            enlist(spark, options.path, ledger)
+            if not options.once:
+                keep_enlisting(spark, options.path, ledger, f"{options.out}/_scans")
+        run_capture_flows(spark, options.path, options.out, state, available_now=options.once, ledger=ledger, **settings).awaitTermination()
         if options.once and options.flush:
             print(flush_flows(spark, options.out, state, **settings), "open flows written")
         return

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: list[str] = []
@@ -59,3 +60,13 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
             drop_scratch(table.sparkSession, folder)
+
+
+def table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """A Parquet table, or None while it does not exist or, where no schema is given, holds no file."""
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as fault:
+        if fault.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None

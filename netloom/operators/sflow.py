@@ -157,12 +157,16 @@ def sflow_samples(datagrams: DataFrame) -> DataFrame:
 
 
 def sflow_counters(datagrams: DataFrame) -> DataFrame:
-    """Counter samples as interface samples for :func:`netloom.operators.counters.counter_deltas`; bits 0 and 1 of the status say up."""
-    c = sflow_datagrams(datagrams).select("recv_us", "agent_ip", F.posexplode("counters").alias("arrival", "c"))
+    """Counter samples as interface samples for :func:`netloom.operators.counters.counter_deltas`; bits 0 and 1 of the status say up.
+
+    Samples of one instant come in the order of their datagrams' numbers.
+    """
+    c = sflow_datagrams(datagrams).select("recv_us", "agent_ip", "datagram_sequence", F.posexplode("counters").alias("place", "c"))
+    arrival = F.col("datagram_sequence") * MAX_SAMPLES * MAX_RECORDS + F.col("place")
     up = lambda bit: F.when(F.col("c.status").bitwiseAND(F.lit(bit)) != 0, "up").otherwise("down")
     number = lambda f: F.col(f"c.{f}").cast("decimal(20,0)").alias(f)
     names = [f"{d}_{k}" for k in ("octets", "packets", "errors", "discards") for d in ("in", "out")]
     return c.select(
-        F.col("agent_ip").alias("device"), (F.col("recv_us") / F.lit(1e6)).alias("epoch"), F.col("arrival").cast("long").alias("arrival"), F.col("c.if_index").alias("if_index"), F.concat(F.lit("ifIndex"), F.col("c.if_index")).alias("if_name"),
+        F.col("agent_ip").alias("device"), (F.col("recv_us") / F.lit(1e6)).alias("epoch"), arrival.cast("long").alias("arrival"), F.col("c.if_index").alias("if_index"), F.concat(F.lit("ifIndex"), F.col("c.if_index")).alias("if_name"),
         up(1).alias("admin_status"), up(2).alias("oper_status"), F.col("c.speed_bps").cast("long").alias("speed_bps"), *(number(n) for n in names),
     )

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from netloom import observe
 from netloom.config import FlowParams
+from netloom.functions import exprs
 from netloom.functions.exprs import sample_variance as sample_variance_of
-from netloom.operators import flows, netflow, sflow
+from netloom.operators import counters, flows, netflow, sflow
 from netloom.plans import process
-from netloom.plans.queries import CUT_FLOWS_SQL, CUTS, _EXPORT_SQL, _frames, _hex, _ip_hex, _unhex, _v9_datagrams, query
-from netloom.sources import adapters, decode, pcap, sinks, splits, write_capture
+from netloom.plans.queries import CUT_FLOWS_SQL, CUTS, _COUNTER_SQL, _EXPORT_SQL, _INTERFACE, _frames, _hex, _interface_samples, _ip_hex, _unhex, _v9_datagrams, query
+from netloom.schemas import INTERFACE_COLUMNS
+from netloom.sources import adapters, decode, pcap, sinks, splits, telemetry, write_capture
 from netloom.storage import materialize, scratch
 from netloom.streaming import carry, jobs
 
@@ -371,6 +373,57 @@ def sflow_counters(spark, sf_dir):
     return rows.select("if_index", "device", "if_name", "admin_status", "oper_status", "speed_bps", *numbers)
 
 
+_SFLOW_SQL = _COUNTER_SQL.replace("'d' || user_id % 10 AS device", "'198.51.100.' || user_id % 10 AS device").replace("'if' || user_id AS if_name", "'ifIndex' || user_id AS if_name").replace("CASE WHEN k <> 7 THEN oc END AS io", "oc AS io")
+#: Datagrams carry all counters: those that the table has no value for are 0.
+_SFLOW_INTERFACE = _INTERFACE | {"admin_status": "'up'", **{c: "CAST(0 AS BIGINT)" for c in ("out_packets", "out_errors", "in_discards", "out_discards")}}
+_SFLOW_INTERFACE_SQL = f"WITH {_SFLOW_SQL} SELECT {', '.join(f'{_SFLOW_INTERFACE[c]} AS {c}' if c in _SFLOW_INTERFACE else c for c in INTERFACE_COLUMNS)} FROM c3"
+
+
+def _counter_datagrams(spark, sf_dir) -> DataFrame:
+    """A datagram for each interface sample, from one of ten agents."""
+    s = _interface_samples(spark, sf_dir)
+    status = F.when(F.col("oper_status") == "up", 3).otherwise(1)
+    octets = F.expr("out_octets div 4")  # the table hides some incoming counts
+    fields = [(F.col("if_index"), 4), (6, 4), (F.col("speed_bps"), 8), (1, 4), (status, 4), (octets, 8), (F.col("in_packets"), 4), (0, 4), (0, 4), (0, 4), (F.col("in_errors"), 4), (0, 4), (F.col("out_octets"), 8), *[(0, 4)] * 6]
+    body = [_hex(F.col("if_index"), 4), _hex(1, 4), _hex(1, 4), _hex(1, 4), _hex(88, 4), *(_hex(v, n) for v, n in fields)]
+    head = [_hex(5, 4), _hex(1, 4), F.concat(F.lit("C63364"), _hex(F.col("device_no"), 1)), _hex(0, 4), _hex(F.col("arrival"), 4), _hex(1000, 4), _hex(1, 4), _hex(2, 4), _hex(12 + 8 + 88, 4)]
+    return s.select((F.col("epoch") * 1_000_000).cast("long").alias("recv_us"), F.lit("x").alias("exporter"), _unhex(*head, *body).alias("payload"))
+
+
+def _longs(rows: DataFrame) -> DataFrame:
+    return rows.select(*(F.col(c).cast("long").alias(c) if "decimal" in kind else F.col(c) for c, kind in rows.dtypes))
+
+
+@query("sflow_interfaces", _SFLOW_INTERFACE_SQL)
+def sflow_interfaces(spark, sf_dir):
+    """Counter samples of datagrams as interface rows, with deltas, rates and utilisation."""
+    return _longs(counters.interface_rows(counters.counter_deltas(sflow.sflow_counters(_counter_datagrams(spark, sf_dir)))))
+
+
+@query("streaming_sflow_interfaces", _SFLOW_INTERFACE_SQL)
+def streaming_sflow_interfaces(spark, sf_dir):
+    """The same from a stream of landed datagrams."""
+    return _longs(jobs.replay(_counter_datagrams(spark, sf_dir), lambda d: lambda out, state: carry.run_sflow_counters(d, out, state, available_now=True), order="recv_us", batches=3).select(*INTERFACE_COLUMNS))
+
+
+@query("table_counts", "SELECT 'd' || user_id % 10 AS device, event_type AS column, count(*) AS entries FROM events GROUP BY ALL")
+def table_counts(spark, sf_dir):
+    """Rows of each walked column of each device."""
+    walked = adapters.events(spark, sf_dir).select(F.concat(F.lit("d"), (F.col("user_id") % 10).cast("string")).alias("device"), F.lit(0.0).alias("epoch"), F.col("event_type").alias("column"))
+    return telemetry.table_counts(walked).drop("epoch")
+
+
+@query("octet_text", """
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type || ' ' || event_id ELSE format('00:{:02x}:{:02x}:{:02x}', (event_id >> 16) & 255, (event_id >> 8) & 255, event_id & 255) END AS text,
+       regexp_replace(event_type || '/é ' || event_id || ':x.pcap', '[^\\p{L}\\p{N}_.\\-]', '_', 'g') AS stem FROM events
+""")
+def octet_text(spark, sf_dir):
+    """Printable and other octets as text, and names made safe for files."""
+    e, i = adapters.events(spark, sf_dir), F.col("event_id")
+    raw = F.when(i % 2 == 0, F.encode(F.concat_ws(" ", "event_type", i.cast("string")), "utf-8")).otherwise(_unhex(F.lit("00"), _hex(i, 3)))
+    return e.select("event_id", exprs.octet_text(raw).alias("text"), exprs.safe_stem(F.concat("event_type", F.lit("/é "), i.cast("string"), F.lit(":x.pcap"))).alias("stem"))
+
+
 # -- sinks ---------------------------------------------------------------------------
 
 @query("csv_round_trip", "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS length, CASE WHEN event_id % 3 = 0 THEN 'a,\"b\" ' || event_type ELSE '' END AS note FROM events")

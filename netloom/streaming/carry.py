@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from netloom.operators.counters import counter_deltas
+from netloom.operators.counters import counter_deltas, interface_rows
 from netloom.operators.netflow import data_records, export_sets, normalized, with_template
+from netloom.operators.sflow import sflow_counters
 from netloom.streaming.jobs import batch_folder, rocksdb, started
 
 SEEN = "carried"
@@ -92,3 +93,13 @@ def run_exports(datagrams: DataFrame, out: str, checkpoint: str, ttl_s: int = 36
 def run_counters(samples: DataFrame, out: str, checkpoint: str, keys: tuple[str, ...] = ("device", "if_index", "if_name"), available_now: bool = False):
     """Deltas of a stream of interface samples (see ``counter_deltas``); samples of a key come in order of time."""
     return run_carried(samples, lambda rows: counter_deltas(rows, keys), list(keys), ["epoch", "arrival"], out, checkpoint, available_now=available_now)
+
+
+def run_sflow_counters(datagrams: DataFrame, out: str, checkpoint: str, available_now: bool = False):
+    """Interface rows (25 columns) of the counter samples in a stream of landed sFlow datagrams."""
+    keys = ("device", "if_index", "if_name")
+
+    def job(rows: DataFrame) -> DataFrame:
+        return interface_rows(counter_deltas(rows, keys).where(~F.col(SEEN)))
+
+    return run_carried(sflow_counters(datagrams), job, list(keys), ["epoch", "arrival"], out, checkpoint, available_now=available_now)

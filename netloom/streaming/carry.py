@@ -1,56 +1,38 @@
 """Batch operators that look back to the row before, run over a stream.
 
 Export templates and interface counters need the last template, or the last sample,
-of each key.  A stateful operator keeps that one row a key, for a time to live, and
-puts it before the key's rows of a micro-batch; the batch operator does the work.
-Results are written per micro-batch, so one that is run again overwrites itself.
+of each key.  That one row a key is kept in a table beside the checkpoint, for a time to
+live, and put before the key's rows of the next micro-batch; the batch operator does
+the work.  All of it is joins and aggregations: no row passes through Python for it.
+A micro-batch reads and writes the rows of the keys that live, one each.
+Results and kept rows are written per micro-batch, so one that is run again overwrites itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import time
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from netloom.operators.counters import counter_deltas, interface_rows
 from netloom.operators.netflow import data_records, export_sets, normalized, with_template
 from netloom.operators.sflow import sflow_counters
-from netloom.streaming.jobs import batch_folder, rocksdb, started
+from netloom.storage import discard, drop_scratch, materialize, table
+from netloom.streaming.jobs import batch_folder, started
 
 SEEN = "carried"
-#: Milliseconds after which a key's row leaves the state if no other takes its place.
+#: When a kept row was taken, in milliseconds of the clock.
+TAKEN = "carried_at"
+#: Milliseconds after which a key's row is given up if no other takes its place.
 TTL_MS = 24 * 3_600_000
 
 
-class Carry(StatefulProcessor):
-    """Rows of a key behind the last of earlier micro-batches; of rows that have ``leaves`` set, the last in ``order`` stays."""
-
-    def __init__(self, schema: T.StructType, order: list[str], leaves: str | None, ttl_ms: int):
-        self.schema, self.order, self.leaves, self.ttl_ms = schema, order, leaves, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", self.schema, self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        made = Row(*self.schema.names, SEEN)
-        place = [self.schema.names.index(c) for c in self.order]
-        last = self.last.get() if self.last.exists() else None
-        if last is not None:
-            yield made(*last, True)
-        newest = None
-        for r in rows:
-            row = tuple(r[c] for c in self.schema.names)
-            yield made(*row, False)
-            if (self.leaves is None or r[self.leaves] is not None) and (newest is None or [row[k] for k in place] > [newest[k] for k in place]):
-                newest = row
-        if newest is not None:
-            self.last.update(newest)
-
-    def close(self) -> None:
-        pass
+def _kept(checkpoint: str, number: int) -> str:
+    """Where micro-batch ``number`` leaves the last row of each key."""
+    return batch_folder(f"{checkpoint}/netloom/carried", number)
 
 
 def run_carried(stream: DataFrame, job: Callable[[DataFrame], DataFrame], keys: list[str], order: list[str], out: str, checkpoint: str, leaves: str | None = None, available_now: bool = False, ttl_ms: int = TTL_MS):
@@ -62,16 +44,26 @@ def run_carried(stream: DataFrame, job: Callable[[DataFrame], DataFrame], keys:
     ``leaves`` (all, if none is named) the last of each key in ``order`` is carried on, for
     ``ttl_ms`` of the clock.
     """
+    names = stream.columns
+    kept = T.StructType([*(T.StructField(f.name, f.dataType) for f in stream.schema.fields), T.StructField(TAKEN, T.LongType())])
 
     def each(batch: DataFrame, number: int) -> None:
-        made = job(batch)
+        spark, now = batch.sparkSession, int(time.time() * 1000)
+        rows, before = batch.withColumns({TAKEN: F.lit(now), SEEN: F.lit(False)}), table(spark, _kept(checkpoint, number - 1), kept)
+        if before is not None:
+            rows = rows.unionByName(before.where(F.col(TAKEN) > now - ttl_ms).withColumn(SEEN, F.lit(True)))
+        both = materialize(rows, "carried")  # read by the job and for the last rows
+        made = job(both.drop(TAKEN))
         made = made.where(~F.col(SEEN)).drop(SEEN) if SEEN in made.columns else made
         made.write.mode("overwrite").parquet(batch_folder(out, number))
-
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
-    both = stream.groupBy(*keys).transformWithState(Carry(schema, order, leaves, ttl_ms), T.StructType([*schema.fields, T.StructField(SEEN, T.BooleanType())]), "append", "ProcessingTime")
-    with rocksdb(stream.sparkSession, idle_batches=False):
-        return started(both.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint), available_now)
+        # At the same time, what is new comes after what was carried.
+        last = F.max_by(F.struct(*names, TAKEN), F.struct(order[0], ~F.col(SEEN), *order[1:]))
+        whose = both if leaves is None else both.where(F.col(leaves).isNotNull())
+        whose.groupBy(*keys).agg(last.alias("last")).select("last.*").write.mode("overwrite").parquet(_kept(checkpoint, number))
+        discard(both)
+        drop_scratch(spark, _kept(checkpoint, number - 2))  # the one before is needed if this one runs again
+
+    return started(stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint), available_now)
 
 
 def run_templates(sets: DataFrame, out: str, checkpoint: str, ttl_s: int = 3600, available_now: bool = False):

@@ -168,14 +168,16 @@ def _dealt(docs: DataFrame, old_shard: Column, blocks: int, id_col: str, text_co
     })
 
 
-def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, blocks: int = 512, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = 32 << 20, cost=None) -> tuple[DataFrame, str, Plan]:
+def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, blocks: int = 512, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = 32 << 20, cost=None, landed: bool = True) -> tuple[DataFrame, str, Plan]:
     """Bring ``docs``, laid out in ``n_old`` shards, into ``n_new`` shards of near equal bytes.
 
     ``old_shard`` gives each row's old shard, 0 to ``n_old`` - 1; null rows
     count to shard 0.  Returns (rows, path, plan): the rows with size, shard and
     slot; the folder of new files (``shard=N/``), which hold the rows of the
     blocks that move; and the block plan.  Rows of blocks that stay are not
-    written again: they are read where they are and numbered.
+    written again: they are read where they are and numbered.  Without ``landed`` the
+    old shards are no files yet, so there is nothing to leave where it is, and the
+    rows of all blocks are written.
 
     The driver holds ``n_old`` times ``blocks`` sizes.  Each block larger than
     ``file_bytes`` is cut into as many cells as its own bytes ask for, at most
@@ -221,13 +223,13 @@ def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, blocks:
     number = (F.row_number().over(window) - 1 + F.col(start)).alias("slot")
     columns = [*(c for c in docs.columns if c not in ("size", "shard", "slot")), "size", "shard"]
     path = scratch(spark, "shards")
-    moved = rows.where(moves).repartitionById(first[-1], F.col(file)).select(*columns, number)
+    moved = (rows.where(moves) if landed else rows).repartitionById(first[-1], F.col(file)).select(*columns, number)
     moved.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     stays = rows.where(f"not `{moves}`").select(*columns, number)
-    if not any(j != key[0] for key, j in plan.target.items()):
+    if landed and not any(j != key[0] for key, j in plan.target.items()):
         return stays, path, plan
     files = spark.read.schema(moved.schema).parquet(path)
-    return (files if all(j != key[0] for key, j in plan.target.items()) else files.unionByName(stays)), path, plan
+    return (files if not landed or all(j != key[0] for key, j in plan.target.items()) else files.unionByName(stays)), path, plan
 
 
 #: The old layout that the query reads: sources dealt to this many shards.
@@ -239,7 +241,7 @@ def op1_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Taken along, so that texts that stay need not be shuffled for it.
     docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
     old = F.pmod(F.xxhash64("source"), F.lit(OLD_SHARDS))
-    rows, _, _ = reshard(docs, old, OLD_SHARDS, NEW_SHARDS)
+    rows, _, _ = reshard(docs, old, OLD_SHARDS, NEW_SHARDS, landed=False)  # the table is laid out in no shards yet
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),

@@ -221,3 +221,17 @@ def test_op11(docs, empty):
     assert len(got[5]) == 2 and len(got[None]) == 1 and byte_bpe.encode_check(empty).count() == 0
     back = by_id(byte_bpe.decode_documents(byte_bpe.encode_documents(docs)))
     assert back[4][0]["text"] == LONG and back[7][0]["text"] == "ünï ▁ 😀" and back[2][0]["text"] == ""
+
+
+def test_reshard_of_a_table_that_is_in_no_files_writes_every_row(spark):
+    df = spark.range(300).selectExpr("id AS doc_id", "repeat('x', cast(id % 50 AS int)) AS text", "cast(id % 3 AS int) AS old").where("doc_id <> 7").unionByName(spark.sql("select 7L AS doc_id, cast(null AS string) AS text, 1 AS old"))
+    rows, path, plan = resharding.reshard(df, F.col("old"), 3, 5, blocks=8, file_bytes=4000, landed=False)
+    key = lambda r: (r["doc_id"], r["text"], r["size"], r["shard"], r["slot"])
+    written = sorted(map(key, spark.read.parquet(path).collect()), key=repr)
+    assert any(j == i for (i, _), j in plan.target.items())
+    assert len(written) == 300 and written == sorted(map(key, rows.collect()), key=repr)
+    same, _, _ = resharding.reshard(df, F.col("old"), 3, 5, blocks=8, file_bytes=4000)
+    assert written == sorted(map(key, same.collect()), key=repr)
+    # One shard that stays as it is, too.
+    _, path, _ = resharding.reshard(df, F.lit(0), 1, 1, landed=False)
+    assert spark.read.parquet(path).count() == 300

@@ -45,5 +45,5 @@ def test_a_replay_computes_its_rows_once_and_lands_batches_as_many_files(spark):
     def job(stream):
         return lambda out, state: jobs.started(stream.writeStream.foreachBatch(lambda b, n: (files.append(len(b.inputFiles()) or b.rdd.getNumPartitions()), b.write.mode("overwrite").parquet(jobs.batch_folder(out, n)))[0]).option("checkpointLocation", state), True)
 
-    assert jobs.replay(rows, job, order="t", batches=3).count() == 900
+    assert jobs.replay(rows, job, order="t", batches=3, runs=True).count() == 900
     assert seen.value == 900 and len(files) == 3 and min(files) > 1

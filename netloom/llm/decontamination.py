@@ -26,7 +26,10 @@ the very same ones at the same places are a family, which one row a window stand
 for, however many members it has.  Where a document has so much of a family's
 windows that less than one window of a member's tokens is missing, and no more
 than a fifth, that member is found; a member without windows of its own is found
-from the ordinary cover on.  Items with the same tokens are one item in the table,
+from the ordinary cover on.  Where a document has some of an item's own windows, its common ones are
+looked up as well, and the item is found if all its windows together have that much of it:
+the pairs come from the own windows, so their number does not grow with the size of families.
+Items with the same tokens are one item in the table,
 and results name all of them.  Items with the same template are one class, which
 the smallest id stands for; the others are looked up by their literal passages.
 
@@ -72,6 +75,10 @@ TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:\n]")
 PLAIN, NUMBER, NAME, UNIT, STOP = range(5)
 #: Beside readings 0 and 1: the tokens as they stand, in windows and in passages.
 LITERAL, PASSAGE = 2, 3
+#: By what an item is found: its own windows or its family's alone, or all; or that it may yet be by all.
+OWN, WHOLE, OPEN = range(3)
+#: In place of an item: windows that are common, once each.
+SEEN = -(1 << 62)
 #: What stands for a slot in a template, by kind.
 _SLOT = np.array([0, 0x1111111111111110, 0x2222222222222220, 0x3333333333333330, 0], np.uint64)
 
@@ -213,11 +220,15 @@ class Table:
     ``rows`` has for each item or family (a negative ``item``) its windows, the
     tokens they cover (``total``), and how many must be found (``need``).
     ``members`` has per item and member: item_id, ``least`` tokens for that member,
-    and the tokens (``base``) that its cover is a share of.
+    and the tokens (``base``) that its cover is a share of; ``by`` tells the windows it was found by.
+    ``mixed`` has the common windows of items that all their windows together may tell,
+    ``total`` and ``need`` being of all; None if there are none.  ``rows`` then has each of these windows
+    once (item ``SEEN``), and for the item's own windows the tokens (``hint``) without which the common ones never do.
     """
 
     rows: DataFrame
     members: DataFrame
+    mixed: DataFrame | None
 
 
 def benchmark_windows(benchmark: DataFrame, window: int, min_cover: float, min_plain: int, min_passage: int, common: int, item_col: str, text_col: str) -> Table:
@@ -243,7 +254,7 @@ def benchmark_windows(benchmark: DataFrame, window: int, min_cover: float, min_p
     held = rows.groupBy("reading", "width", "hash").agg((F.count(F.lit(1)) <= common).alias("own"))  # an item has a window once
     rows = materialize(rows.join(held, ["reading", "width", "hash"]), "benchmark-windows")
     own = rows.where("own").drop("own")
-    single = own.join(_tokens(own), "item").withColumn("need", F.ceil(F.col("total") * min_cover).cast("int"))
+    single = own.join(_tokens(own), "item").withColumn("need", F.ceil(F.col("total") * min_cover).cast("int")).withColumn("hint", F.lit(None).cast("int"))
     # Families: items with the same common windows at the same places.
     shared = rows.where(f"not own and reading <> {PASSAGE}").drop("own")
     spot = F.sort_array(F.collect_list(F.struct("reading", "width", "hash", "item_pos", "spans", "item_slots")))
@@ -253,17 +264,32 @@ def benchmark_windows(benchmark: DataFrame, window: int, min_cover: float, min_p
     sets = sets.join(ends, "set").join(_tokens(shared), "item").join(alone, "item", "left")
     whole = F.greatest(F.ceil(F.col("length") * MIN_FAMILY), F.col("length") - (window - 1))
     sets = sets.withColumn("least", F.when(F.col("has_own"), whole).otherwise(F.ceil(F.col("total") * min_cover)).cast("int"))
+    # Items with windows of both kinds, where the common ones do not say enough by themselves to be a family's.
+    both = _tokens(rows.where(f"own or reading <> {PASSAGE}")).withColumnRenamed("total", "every")
+    mixed = sets.where("has_own").join(both, "item").where("least <= every").select("item", "every", F.col("least").alias("whole"), F.greatest(F.lit(1), F.col("least") - F.col("total")).alias("hinted"))
+    mixed = materialize(mixed, "benchmark-mixed")
+    some = not mixed.isEmpty()
+    if some:
+        single = single.join(mixed.select("item", "hinted"), "item", "left").withColumn("hint", F.col("hinted")).select(*single.columns)
     sets = materialize(sets.where("least <= total"), "benchmark-families")
     heads = sets.groupBy("head").agg(F.min("least").alias("need"), F.max("total").alias("total"), F.max("longest").alias("longest"))
-    family = shared.join(heads, shared.item == heads["head"]).withColumn("length", F.col("longest")).withColumn("item", -F.col("item") - 1).select(*single.columns)
-    table = materialize(single.unionByName(family), "benchmark-table")
-    bases = single.groupBy("item").agg(F.lit(0).alias("least"), F.max("total").alias("base"))
-    told = bases.join(named, bases.item == named.stand).select(bases["item"], named["item"].alias("member"), "item_id", "least", "base")
+    family = shared.join(heads, shared.item == heads["head"]).withColumn("length", F.col("longest")).withColumns({"item": -F.col("item") - 1, "hint": F.lit(None).cast("int")}).select(*single.columns)
+    told_by = single.unionByName(family)
+    common_of = None
+    if some:
+        common_of = materialize(shared.join(mixed.select("item", F.col("every").alias("total"), F.col("whole").alias("need")), "item"), "benchmark-common")
+        seen = common_of.select("reading", "width", "hash").distinct().withColumn("item", F.lit(SEEN))
+        told_by = told_by.unionByName(seen, allowMissingColumns=True)
+    table = materialize(told_by, "benchmark-table")
+    bases = single.groupBy("item").agg(F.lit(0).alias("least"), F.max("total").alias("base")).withColumn("by", F.lit(OWN))
+    if some:
+        bases = bases.unionByName(mixed.join(single.select("item", "length").distinct(), "item").select("item", F.lit(0).alias("least"), F.col("length").alias("base"), F.lit(WHOLE).alias("by")))
+    told = bases.join(named, bases.item == named.stand).select(bases["item"], named["item"].alias("member"), "item_id", "least", "base", "by")
     base = F.when(F.col("has_own"), F.col("length")).otherwise(F.col("total"))
-    kin = sets.select((-F.col("head") - 1).alias("item"), F.col("item").alias("of"), "least", base.alias("base")).join(named.withColumnRenamed("item", "member"), F.col("of") == F.col("stand")).select("item", "member", "item_id", "least", "base")
+    kin = sets.select((-F.col("head") - 1).alias("item"), F.col("item").alias("of"), "least", base.alias("base")).join(named.withColumnRenamed("item", "member"), F.col("of") == F.col("stand")).select("item", "member", "item_id", "least", "base", F.lit(OWN).alias("by"))
     members = materialize(told.unionByName(kin), "benchmark-members")
-    discard(every, rows, named, sets)
-    return Table(table, members)
+    discard(every, rows, named, sets, mixed)
+    return Table(table, members, common_of)
 
 
 def _tokens(rows: DataFrame) -> DataFrame:
@@ -440,9 +466,10 @@ def judge(hits: list[Hit], length: int, total: int, min_cover: float, min_passag
 
 # -- the operator --------------------------------------------------------------
 
-FOUND = "row long, doc_id long, d0 long, d1 long, item long, covered long, position long, changed_slots long"
+FOUND = "row long, doc_id long, d0 long, d1 long, item long, by int, covered long, position long, changed_slots long"
 _ITEM_KINDS = [(x.split()[0], {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}[x.split()[1]]) for x in ITEM_WINDOWS.split(", ")]
-_FOUND_KINDS = [(x.split()[0], pa.int64()) for x in FOUND.split(", ")]
+_FOUND_KINDS = [(x.split()[0], pa.int32() if x.endswith(" int") else pa.int64()) for x in FOUND.split(", ")]
+_PAIR = ["row", "doc_id", "d0", "d1", "item", "length", "total", "need", "hint"]
 _HIT = ["reading", "width", "pos", "start", "stop", "slots", "item_pos", "spans", "item_slots", "slot_spans"]
 
 
@@ -453,7 +480,24 @@ def _record(rows: list[tuple], kinds: list[tuple[str, pa.DataType]]) -> pa.Recor
 def found_items(docs: DataFrame, benchmark: DataFrame, min_cover: float, window: int, min_plain: int, min_passage: int, common: int, id_col: str | None, item_col: str, text_col: str, bench_text: str) -> tuple[DataFrame, DataFrame]:
     """Rows of ``FOUND``: ``row`` numbers the documents of this run, d0 and d1 name the text; and the members of items."""
     table = benchmark_windows(benchmark, window, min_cover, min_plain, min_passage, common, item_col, bench_text)
-    names = ["row", "doc_id", "d0", "d1", "item", "length", "total", "need"]
+    hits = _hits(docs, table.rows, window, min_passage, id_col, text_col).select(*_PAIR, *_HIT, "hash")
+    if table.mixed is None:
+        return _judged(hits, OWN, min_passage), table.members
+    hits = materialize(hits, "hits")
+    first = materialize(_judged(hits.where(F.col("item") != SEEN), OWN, min_passage), "found")
+    # Of an open pair, ``covered`` and ``position`` are the document tokens between which its own windows lie.
+    pairs = first.where(F.col("by") == OPEN).select("row", "doc_id", "d0", "d1", "item", F.col("covered").alias("low"), F.col("position").alias("high"))
+    seen = hits.where(F.col("item") == SEEN).select("row", "reading", "width", "hash", "pos", "start", "stop", "slots")
+    wide = F.col("length") * (1 + MAX_DRIFT)  # a chain is no longer
+    near = (F.col("stop") >= F.col("low") - wide) & (F.col("start") <= F.col("high") + wide)
+    theirs = pairs.join(table.mixed, "item").join(seen, ["row", "reading", "width", "hash"]).where(near)
+    own = hits.drop("total", "need", "hint").join(pairs.select("row", "item"), ["row", "item"]).join(table.mixed.select("item", "total", "need").distinct(), "item")
+    parts = [x.withColumn("hint", F.lit(None).cast("int")).select(*_PAIR, *_HIT) for x in (own, theirs)]
+    return first.where(F.col("by") != OPEN).unionByName(_judged(parts[0].unionByName(parts[1]), WHOLE, min_passage)), table.members
+
+
+def _judged(hits: DataFrame, by: int, min_passage: int) -> DataFrame:
+    """Rows of ``FOUND`` for the pairs of ``hits`` in which the item is there; those that all windows may yet tell are ``OPEN``."""
 
     def run(batches):
         at, hits = None, []
@@ -461,14 +505,18 @@ def found_items(docs: DataFrame, benchmark: DataFrame, min_cover: float, window:
         def done():
             if not at:
                 return []
-            *key, length, total, need = at
+            *key, length, total, need, hint = at
             # What a family has in one piece may be a preamble, so a passage counts for items alone.
-            found = judge(hits, length, total, need / total, min_passage if key[4] >= 0 else 1 << 30)
-            return [(*key, round(found[0] * total), *found[1:])] if found else []
+            found = judge(hits, length, total, need / total, min_passage if key[4] >= 0 and by == OWN else 1 << 30)
+            if found:
+                return [(*key, by, round(found[0] * total), *found[1:])]
+            if hint is None or len({t for h in hits for k in range(0, len(h.spans), 2) for t in range(h.spans[k], h.spans[k + 1])}) < hint:
+                return []
+            return [(*key, OPEN, min(h.start for h in hits), max(h.stop for h in hits), 0)]
 
         for batch in batches:
             out = []
-            for key, *hit in zip(zip(*(batch.column(c).to_pylist() for c in names)), *(batch.column(c).to_pylist() for c in _HIT)):
+            for key, *hit in zip(zip(*(batch.column(c).to_pylist() for c in _PAIR)), *(batch.column(c).to_pylist() for c in _HIT)):
                 if key != at:
                     out += done()
                     at, hits = key, []
@@ -476,8 +524,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame, min_cover: float, window:
             yield _record(out, _FOUND_KINDS)
         yield _record(done(), _FOUND_KINDS)
 
-    hits = _hits(docs, table.rows, window, min_passage, id_col, text_col).select(*names, *_HIT)
-    return hits.repartition("row", "item").sortWithinPartitions("row", "item").mapInArrow(run, FOUND), table.members
+    return hits.select(*_PAIR, *_HIT).repartition("row", "item").sortWithinPartitions("row", "item").mapInArrow(run, FOUND)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER, window: int = WINDOW, min_plain: int = MIN_PLAIN, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text", min_passage: int = MIN_PASSAGE, common: int = COMMON) -> DataFrame:
@@ -487,7 +534,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
     ``position`` the document token where the item would begin,
     ``changed_slots`` how many of its values differ.  Of equally good places the
     first counts.  Tokens that stand only in windows of more than ``common`` items
-    count neither way; an item of which nearly all is there (see the module) is found through them, and
+    count neither way; an item of which nearly all is there (see the module) is found through them, alone or with its own, and
     ``cover`` is then the share of all its tokens.  An item counts as found from ``min_cover`` or from
     ``min_passage`` unchanged tokens in one piece.  Items shorter than a window must occur whole; a window with
     fewer than ``min_plain`` plain words (or not all, if shorter) must occur with
@@ -499,9 +546,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
     empty tables give no rows; other columns are ignored.
     """
     found, members = found_items(docs, benchmark, min_cover, window, min_plain, min_passage, common, id_col, item_col, text_col, text_col)
-    each = found.join(bounded_broadcast(members, 40), "item").where("covered >= least")
+    each = found.join(bounded_broadcast(members, 40), ["item", "by"]).where("covered >= least")
     facts = F.struct((F.col("covered") / F.col("base")).alias("cover"), "position", "changed_slots")
-    best = each.groupBy("row", "doc_id", "member", "item_id").agg(F.max_by(facts, F.struct(F.col("item") >= 0, "covered")).alias("best"))
+    best = each.groupBy("row", "doc_id", "member", "item_id").agg(F.max_by(facts, F.struct((F.col("item") >= 0) & (F.col("by") == OWN), "covered")).alias("best"))
     return best.select("doc_id", "item_id", "best.*")
 
 

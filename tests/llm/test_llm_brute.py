@@ -722,6 +722,33 @@ def test_op6_items_that_share_nearly_all_are_all_found(spark, n, place):
     assert got[4, n - 1] == 1 and abs(got[1, 0] - 25 / 26) < 1e-9 or n == 16
 
 
+@pytest.mark.parametrize("n, limit", [(16, None), (30, None), (30, 0)])
+def test_op6_items_that_only_all_their_windows_tell(spark, monkeypatch, n, limit):
+    """Own words in three places of ``n`` items, other words put in between and other numbers beside them: neither own nor common windows alone say enough."""
+    if limit is not None:
+        from netloom.llm import common
+
+        monkeypatch.setattr(decontamination, "bounded_broadcast", lambda df, row_bytes: common.bounded_broadcast(df, row_bytes, limit))
+    first, last, put = ([_numbered(w, k) for k in range(30)] for w in ("first", "last", "put"))
+    side = "left {} leaf {} lean {} lend", "rift {} rise {} rill ripe rice"
+
+    def text(i, numbers, words=0):
+        a, b, c = ([_numbered(w, 3 * i + k) for k in range(3)] for w in ("one", "two", "six"))
+        far = lambda part: [*part[:10], *put[:words], *part[10:20], *put[6 : 6 + words], *part[20:]]
+        return " ".join([*a, *far(first), side[0].format(*numbers[:3]), *b, side[1].format(*numbers[3:]), *far(last), *c])
+
+    bench = spark.createDataFrame([(i, text(i, (12, 15, 19, 21, 24))) for i in range(n)], "item_id long, text string")
+    other = (112, 115, 119, 121, 124)
+    docs = [(1, "now " + text(5, other, 6) + " end"), (2, "now " + text(n + 100, other, 6)), (3, text(n + 100, (12, 15, 19, 21, 24))), (4, text(7, other)), (5, " ".join(put * 9 + [text(9, other, 6)]))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["cover"], r["changed_slots"]) for r in decontamination.contaminated(docs, bench).collect()}
+    if n > decontamination.COMMON:
+        assert {k: v for k, v in got.items() if k[0] != 4} == {(1, 5): (1, 5), (5, 9): (1, 5)} and {k for k in got if k[0] == 4} == {(4, 7)}
+        assert {r["doc_id"] for r in decontamination.drop_contaminated(docs, bench).collect()} == {2, 3}
+    else:
+        assert got.keys() >= {(1, 5), (4, 7), (5, 9)}
+
+
 def test_op6_equal_items_are_all_found(spark):
     text = "the clerk in the old shop sold seven jars to Bob before noon and asked for nine coins"
     bench = spark.createDataFrame([(i, text.upper() if i == 7 else text) for i in range(30)] + [(3, text)], "item_id long, text string")
